@@ -10,31 +10,33 @@ PARTITION BY, which Spark runs in a single task -- by a distributed
    spread over many partitions;
 2. sort inside each partition and tag every row with
    ``monotonically_increasing_id()`` = (partition << 33) + position;
-3. checkpoint that result (reliable checkpoint in ``spark.checkpoint.dir``)
-   so the partition boundaries are fixed and lineage is cut; lost executors
-   re-read the checkpoint instead of re-sampling different boundaries;
-4. count rows per partition (one row per partition, a bounded table),
-   prefix-sum them, and join the offsets back with a broadcast whose size
-   is bounded by the number of partitions.
+3. write that result as a parquet table under ``spark.checkpoint.dir``
+   (the shared folder of the cluster): the partition boundaries are fixed
+   once, lineage is cut, a lost executor re-reads the table instead of
+   re-sampling other boundaries, and the planner gets real size statistics
+   for later joins (small dimensions broadcast, large ones sort-merge);
+4. read back only the tag column to get each partition's row count -- one
+   row per partition, so the driver receives at most
+   ``spark.sql.shuffle.partitions`` numbers -- and add the prefix offsets
+   with a projection (``element_at`` of a literal array), no join.
 
 The key is dense (1..n), follows the ordering exactly (nulls first, like
 the reference's ascending window), and equals the single-partition
-``row_number`` whenever the ordering is total; for rows that are complete
-copies the copies are interchangeable, so the output is the same multiset.
-Keys are bigint: an int key would overflow past 2^31 rows.
+``row_number`` whenever the ordering is total; rows that are complete copies
+are interchangeable, so the output is the same multiset. Keys are bigint:
+an int key would overflow past 2^31 rows.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _POS_BITS = 33
-_PID = "__cs_pid"
-_POS = "__cs_pos"
 _MID = "__cs_mid"
 _SALT = "__cs_salt"
 
@@ -49,15 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-        return conf_dir
+        return sc.getCheckpointDir() or conf_dir
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...) "
-            "so surrogate-key checkpoints survive executor loss"
+            "so surrogate-key tables survive executor loss"
         )
     path = tempfile.mkdtemp(prefix="claimsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir() or path
+
+
+def scratch_table_path(spark: SparkSession, kind: str) -> str:
+    """A fresh table location inside the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimsmith/{kind}-{uuid.uuid4().hex}"
 
 
 def _order_expr(c: Column | str) -> Column:
@@ -72,34 +79,32 @@ def add_surrogate_key(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Dense bigint key 1..n in ``order_cols`` order (ties broken by the
-    remaining columns). Runs two small jobs (range sample + checkpoint)."""
+    remaining columns). Three small jobs: range sample, table write, and a
+    per-partition count over the tag column only."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     rest = [c for c in df.columns if c not in order_cols]
     ordering = [_order_expr(c) for c in order_cols + rest] + [F.col(_SALT).asc()]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
+    path = scratch_table_path(spark, sk_name)
+    (
         df.withColumn(_SALT, F.monotonically_increasing_id())
         .repartitionByRange(n, *ordering)
         .sortWithinPartitions(*ordering)
         .drop(_SALT)
         .withColumn(_MID, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .write.parquet(path)
     )
+    tagged = spark.read.parquet(path)
     pid = F.shiftright(F.col(_MID), _POS_BITS)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    sizes = tagged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("__cs_n"))
-    # One row per partition: a bounded table, so the window and the broadcast
-    # below stay small whatever the data size.
-    offsets = sizes.select(
-        _PID,
-        (F.sum("__cs_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))).alias("__cs_off"),
-    ).fillna(0, subset=["__cs_off"])
-    keyed = tagged.withColumn(_PID, pid).withColumn(_POS, pos).join(F.broadcast(offsets), _PID, "inner")
-    return keyed.select(
-        (F.col("__cs_off") + F.col(_POS) + 1).cast("bigint").alias(sk_name),
-        *df.columns,
-    )
+    # At most one row per partition reaches the driver.
+    sizes = {r[0]: r[1] for r in tagged.groupBy(pid.alias("p")).agg((F.max(pos) + 1).alias("n")).collect()}
+    offsets, running = [], 0
+    for p in range(max(sizes) + 1 if sizes else 1):
+        offsets.append(running)
+        running += sizes.get(p, 0)
+    offset = F.element_at(F.lit(offsets).cast("array<bigint>"), (pid + 1).cast("int"))
+    return tagged.select((offset + pos + 1).cast("bigint").alias(sk_name), *df.columns)
 
 
 def small_surrogate_key(df: DataFrame, sk_name: str, order_cols: list[str]) -> DataFrame:
