@@ -33,6 +33,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,14 +87,20 @@ def add_surrogate_key(
     ordering = [_order_expr(c) for c in order_cols + rest] + [F.col(_SALT).asc()]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_table_path(spark, sk_name)
-    (
-        df.withColumn(_SALT, F.monotonically_increasing_id())
-        .repartitionByRange(n, *ordering)
-        .sortWithinPartitions(*ordering)
-        .drop(_SALT)
-        .withColumn(_MID, F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
+    # Range partitioning samples its input in a separate job; keeping the
+    # salted input (memory, spilling to disk) spares recomputing upstream
+    # joins for the write. Lost blocks are recomputed from lineage.
+    salted = df.withColumn(_SALT, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (
+            salted.repartitionByRange(n, *ordering)
+            .sortWithinPartitions(*ordering)
+            .drop(_SALT)
+            .withColumn(_MID, F.monotonically_increasing_id())
+            .write.parquet(path)
+        )
+    finally:
+        salted.unpersist()
     tagged = spark.read.parquet(path)
     pid = F.shiftright(F.col(_MID), _POS_BITS)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))

@@ -54,11 +54,21 @@ def expand_by_count(agg: DataFrame, count_col: str, key_col: str, seq_col: str =
 
 def synthesize_claim_events(claims_agg: DataFrame, seed: int = DEFAULT_SEED,
                             num_partitions: int | None = None) -> DataFrame:
-    """Claim events from cleaned claim aggregates (stg_claims_agg)."""
-    keyed = claims_agg.withColumn(
-        "source_row_key",
-        H.source_row_key("provider_id", "region_id", "treatment_category", "claim_month", "claim_status"),
-    ).withColumn("__billed_c", M.to_cents("total_billed")).withColumn("__reimb_c", M.to_cents("total_reimbursed"))
+    """Claim events from cleaned claim aggregates (stg_claims_agg).
+
+    Everything that depends only on the aggregate row (key, category id,
+    month start, totals in cents) is computed once per aggregate row, before
+    the expansion; per event only the ids, the day and the split remain.
+    """
+    keyed = claims_agg.select(
+        "*",
+        H.source_row_key("provider_id", "region_id", "treatment_category", "claim_month",
+                         "claim_status").alias("source_row_key"),
+        H.category_id("treatment_category").alias("__treatment_id"),
+        C.month_start("claim_month").alias("__month_start"),
+        M.to_cents("total_billed").alias("__billed_c"),
+        M.to_cents("total_reimbursed").alias("__reimb_c"),
+    )
     ev = expand_by_count(keyed, "claim_count", "source_row_key", num_partitions=num_partitions)
     n, seq = F.col("claim_count"), F.col("seq")
     billed_c = M.allocate_cents(F.col("__billed_c"), n, seq)
@@ -68,9 +78,9 @@ def synthesize_claim_events(claims_agg: DataFrame, seed: int = DEFAULT_SEED,
         H.keyed_id(seed, "patient", "source_row_key", "seq").alias("patient_id"),
         "provider_id",
         "region_id",
-        H.category_id("treatment_category").alias("treatment_id"),
+        F.col("__treatment_id").alias("treatment_id"),
         "treatment_category",
-        C.spread_in_month("claim_month", "seq").alias("claim_date"),
+        C.day_in_spread("__month_start", "seq").alias("claim_date"),
         M.cents_to_double(billed_c).alias("billed_amount"),
         M.cents_to_double(M.cap_at(reimb_c, billed_c)).alias("reimbursed_amount"),
         "claim_status",
@@ -82,9 +92,11 @@ def synthesize_prescription_events(prescriptions_agg: DataFrame, seed: int = DEF
                                    num_partitions: int | None = None) -> DataFrame:
     """Prescription events; the key has no status (so patients never meet
     claim patients, as in the reference)."""
-    keyed = prescriptions_agg.withColumn(
-        "source_row_key",
-        H.source_row_key("provider_id", "region_id", "treatment_category", "claim_month"),
+    keyed = prescriptions_agg.select(
+        "*",
+        H.source_row_key("provider_id", "region_id", "treatment_category", "claim_month").alias("source_row_key"),
+        H.category_id("treatment_category").alias("__treatment_id"),
+        C.month_start("claim_month").alias("__month_start"),
     )
     ev = expand_by_count(keyed, "prescription_count", "source_row_key", num_partitions=num_partitions)
     n, seq = F.col("prescription_count"), F.col("seq")
@@ -93,9 +105,9 @@ def synthesize_prescription_events(prescriptions_agg: DataFrame, seed: int = DEF
         H.keyed_id(seed, "patient", "source_row_key", "seq").alias("patient_id"),
         "provider_id",
         "region_id",
-        H.category_id("treatment_category").alias("treatment_id"),
+        F.col("__treatment_id").alias("treatment_id"),
         "treatment_category",
-        C.spread_in_month("claim_month", "seq").alias("prescription_date"),
+        C.day_in_spread("__month_start", "seq").alias("prescription_date"),
         M.allocate_integer(F.col("total_quantity"), n, seq).cast("int").alias("quantity"),
         "source_row_key",
     )

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline (daily snapshots, one run date at a time)
+with no stream source, watermark, window or stateful operator. Incremental
+runs are covered by the batch runners writing one ``run_date`` partition
+with dynamic partition overwrite (plans/pipeline.py); nothing here would
+reproduce behaviour the reference has.
+"""
