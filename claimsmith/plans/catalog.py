@@ -18,6 +18,10 @@ from claimsmith.operators import quality as Q
 from claimsmith.operators import star as B
 from claimsmith.operators import synthesize as D
 from claimsmith.sources import adapters as A
+from claimsmith.sources.io import materialize
+
+# Staging frames read by more than one builder are written once.
+SHARED_STAGING = ("stg_claims_events", "stg_prescriptions_events", "stg_visits_events")
 
 
 class Star:
@@ -27,7 +31,19 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = A.Tables(spark, sf_dir)
-        self.stg = A.staging_tables(self.t)
+        self._lazy = A.staging_tables(self.t)
+        self._staged: dict[str, DataFrame] = {}
+
+    def staging(self, name: str) -> DataFrame:
+        if name not in SHARED_STAGING:
+            return self._lazy[name]
+        if name not in self._staged:
+            self._staged[name] = materialize(self._lazy[name], name)
+        return self._staged[name]
+
+    @property
+    def stg(self) -> dict[str, DataFrame]:
+        return _LazyMap(self.staging, list(self._lazy))
 
     @cached_property
     def dim_region(self) -> DataFrame:
@@ -77,6 +93,23 @@ class Star:
         return {n: getattr(self, n) for n in names}
 
 
+class _LazyMap(dict):
+    """dict view that builds entries on access."""
+
+    def __init__(self, getter, keys):
+        super().__init__()
+        self._getter, self._keys = getter, keys
+
+    def __getitem__(self, key):
+        return self._getter(key)
+
+    def __iter__(self):
+        return iter(self._keys)
+
+    def keys(self):
+        return list(self._keys)
+
+
 def _star(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(Star(spark, sf_dir))
 
@@ -99,8 +132,8 @@ def synthesized_staging(t: A.Tables) -> dict[str, DataFrame]:
     """C1-C4 + D9-D13 over the aggregate adapters: the reference's staging."""
     providers = CL.clean_providers(A.region_providers(t))
     regions = CL.clean_regions(A.regions(t))
-    claims = synthesized_claims(t)
-    rx = synthesized_prescriptions(t)
+    claims = materialize(synthesized_claims(t), "stg_claims_events")
+    rx = materialize(synthesized_prescriptions(t), "stg_prescriptions_events")
     return {
         "stg_providers": providers,
         "stg_regions": regions,

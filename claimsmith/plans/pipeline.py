@@ -10,6 +10,8 @@ the claim events three times).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,9 +76,25 @@ def _read(spark: SparkSession, root: str, names: list[str], run_date: str) -> di
     return out
 
 
-def _write_all(frames: dict[str, DataFrame], root: str, run_date: str) -> None:
-    for name, df in frames.items():
-        io.write_run_partition(df, root, name, run_date)
+MAX_CONCURRENT_JOBS = 4
+
+
+def run_concurrently(tasks: dict[str, Callable[[], object]], workers: int = MAX_CONCURRENT_JOBS) -> dict:
+    """Submit independent Spark jobs from driver threads (Spark schedules
+    jobs of one application concurrently); the first failure is raised."""
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
+def _write_all(frames: dict[str, DataFrame | Callable[[], DataFrame]], root: str, run_date: str) -> None:
+    """Build (when given a builder) and write each table; tables in parallel."""
+    def task(name, df):
+        return lambda: io.write_run_partition(df() if callable(df) else df, root, name, run_date)
+
+    run_concurrently({name: task(name, df) for name, df in frames.items()})
 
 
 def ingest(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -105,8 +123,9 @@ def synthesize_events(spark: SparkSession, cfg: PipelineConfig) -> None:
     """D9-D13; claim events are written first and re-read by patients/visits."""
     stg = _read(spark, cfg.staging_root, STAGING_CLEAN, cfg.run_date)
     _write_all({
-        "stg_claims_events": D.synthesize_claim_events(stg["stg_claims_agg"], cfg.seed),
-        "stg_prescriptions_events": D.synthesize_prescription_events(stg["stg_prescriptions_agg"], cfg.seed),
+        "stg_claims_events": lambda: D.synthesize_claim_events(stg["stg_claims_agg"], cfg.seed),
+        "stg_prescriptions_events": lambda: D.synthesize_prescription_events(stg["stg_prescriptions_agg"],
+                                                                             cfg.seed),
     }, cfg.staging_root, cfg.run_date)
     ev = _read(spark, cfg.staging_root, ["stg_claims_events", "stg_prescriptions_events"], cfg.run_date)
     _write_all({
@@ -119,13 +138,29 @@ def synthesize_events(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 def build_dimensions(spark: SparkSession, cfg: PipelineConfig) -> None:
     stg = _read(spark, cfg.staging_root, STAGING_CLEAN + STAGING_EVENTS, cfg.run_date)
-    _write_all(B.build_dimensions(stg), cfg.curated_root, cfg.run_date)
+    region = B.dim_region(stg["stg_regions"])  # keyed once, used by three tables
+    _write_all({
+        "dim_region": region,
+        "dim_provider": lambda: B.dim_provider(stg["stg_providers"], region),
+        "dim_treatment": lambda: B.dim_treatment(stg["stg_claims_events"], stg["stg_prescriptions_events"]),
+        "dim_patient": lambda: B.dim_patient(stg["stg_patients"], region),
+        "dim_date": lambda: B.dim_date(stg["stg_claims_events"], stg["stg_prescriptions_events"],
+                                       stg["stg_visits_events"]),
+    }, cfg.curated_root, cfg.run_date)
 
 
 def build_facts(spark: SparkSession, cfg: PipelineConfig) -> None:
     stg = _read(spark, cfg.staging_root, STAGING_EVENTS, cfg.run_date)
     dims = _read(spark, cfg.curated_root, DIMENSIONS, cfg.run_date)
-    _write_all(B.build_facts(stg, dims), cfg.curated_root, cfg.run_date)
+    _write_all({
+        "fact_claims": lambda: B.fact_claims(stg["stg_claims_events"], dims["dim_patient"], dims["dim_provider"],
+                                             dims["dim_treatment"]),
+        "fact_prescriptions": lambda: B.fact_prescriptions(stg["stg_prescriptions_events"], dims["dim_patient"],
+                                                           dims["dim_provider"], dims["dim_treatment"]),
+        "fact_visits": lambda: B.fact_visits(stg["stg_visits_events"], dims["dim_patient"], dims["dim_provider"]),
+        "fact_reimbursements": lambda: B.fact_reimbursements(
+            B.claim_lines(stg["stg_claims_events"], dims["dim_provider"], dims["dim_treatment"])),
+    }, cfg.curated_root, cfg.run_date)
 
 
 def quality_checks(spark: SparkSession, cfg: PipelineConfig, run_id: str | None = None) -> DataFrame:

@@ -104,13 +104,20 @@ def ingest_sources(spark: SparkSession, sources: dict[str, dict], raw_root: str,
                    allow_fallback: bool = True) -> DataFrame:
     """S2 + S4 for every source; returns the ingestion records as a DataFrame
     (records counted by Spark from the written snapshot)."""
-    rows = []
-    for name, cfg in sources.items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.sql import Observation
+
+    def one(name: str, cfg: dict) -> dict:
         df, info = read_source(spark, name, cfg["primary"], cfg.get("fallback"), cfg["required"], allow_fallback)
         out = f"{raw_root}/{run_date}/{name}"
-        write_raw_snapshot(df, cfg["required"], out)
-        records = read_csv(spark, out).count()
-        rows.append(IngestionRecord(output_path=out, records=int(records), **info).__dict__)
+        obs = Observation(f"ingest_{name}")
+        # The row count is observed during the write itself: no second job.
+        write_raw_snapshot(df.observe(obs, F.count(F.lit(1)).alias("records")), cfg["required"], out)
+        return IngestionRecord(output_path=out, records=int(obs.get["records"]), **info).__dict__
+
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(sources)))) as pool:
+        rows = list(pool.map(lambda kv: one(*kv), sources.items()))
     return spark.createDataFrame(rows, INGESTION_SCHEMA)
 
 
@@ -210,3 +217,15 @@ def sql_over(spark: SparkSession, tables: dict[str, DataFrame], query: str) -> D
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return spark.sql(query)
+
+
+def materialize(df: DataFrame, kind: str) -> DataFrame:
+    """Write a frame that several consumers read as a parquet table in the
+    shared checkpoint folder and return the re-read table: the lineage is
+    cut (a lost executor re-reads instead of recomputing joins), and the
+    planner sees the real size of the table."""
+    from claimsmith.operators.keys import scratch_table_path
+
+    path = scratch_table_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
