@@ -52,7 +52,9 @@ def abs_hash(*cols: Column | str) -> Column:
 
 def hash_sample(id_col: Column | str, seed: int, threshold: int, buckets: int = 10) -> Column:
     """deterministic sample, pmod(abs(hash(id, seed)), 10) < threshold."""
-    return F.pmod(abs_hash(_col(id_col), F.lit(int(seed)).cast("int")), F.lit(buckets)) < F.lit(threshold)
+    # F.lit keeps Spark's literal width (int when the seed fits, else bigint),
+    # which the hash depends on.
+    return F.pmod(abs_hash(_col(id_col), F.lit(int(seed))), F.lit(buckets)) < F.lit(threshold)
 
 
 def hospital_like(provider_type: Column | str) -> Column:

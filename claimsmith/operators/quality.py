@@ -41,7 +41,7 @@ CHECK_ROWS = "python_row_count_reconciliation"
 RESULT_COLUMNS = ("run_id", "run_date", "check_name", "status", "severity", "details", "checked_at")
 
 
-def mandatory_null(df: DataFrame | None = None) -> Column:
+def mandatory_null() -> Column:
     """any of claim_id and the four foreign keys is null."""
     cols = ("claim_id", "patient_sk", "provider_sk", "treatment_sk", "date_sk")
     out = F.col(cols[0]).isNull()
@@ -126,12 +126,12 @@ def python_check_rows(curated: dict[str, DataFrame], staging: dict[str, DataFram
         return spark.range(1).select(F.inline(F.array(_row(CHECK_SCHEMA, schema_ok, schema_details))))
 
     cm = claim_metrics(fc, allowed)
+    pairs = [("total", "total"), ("unique", "unique"), ("nulls", "null_violations"),
+             ("status", "status_violations"), ("amounts", "amount_violations")]
+    claim_rows = cm.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("metric"), F.col(col).cast("bigint").alias("value")) for name, col in pairs])))
     metrics = (
-        _metric(cm, "total", "total")
-        .unionByName(_metric(cm, "unique", "unique"))
-        .unionByName(_metric(cm, "nulls", "null_violations"))
-        .unionByName(_metric(cm, "status", "status_violations"))
-        .unionByName(_metric(cm, "amounts", "amount_violations"))
+        claim_rows
         .unionByName(_metric(orphan_count(fc, curated["dim_patient"], "patient_sk"), "fk_patient"))
         .unionByName(_metric(orphan_count(fc, curated["dim_provider"], "provider_sk"), "fk_provider"))
         .unionByName(_metric(orphan_count(curated["fact_prescriptions"], curated["dim_treatment"], "treatment_sk"),
