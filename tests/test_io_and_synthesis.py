@@ -93,3 +93,30 @@ def test_patients_and_visits_invariants(spark):
     assert len(visits) == 40  # 'clinique' is hospital-like
     assert all(1 <= (v.discharge_date - v.admission_date).days <= 5 for v in visits)
     assert all(len(v.diagnosis_code) == 4 and v.diagnosis_code.startswith("D") for v in visits)
+
+
+def test_run_metadata_and_sql_over(spark):
+    from claimsmith.operators.analytics import table_row_counts
+
+    a = spark.range(3).toDF("x")
+    b = spark.range(5).toDF("x")
+    counts = table_row_counts({"t_b": b, "t_a": a})
+    meta = io.run_metadata(counts, "2025-02-01").collect()
+    assert [(m.table_name, m.row_count, m.run_date) for m in meta] == [("t_a", 3, "2025-02-01"),
+                                                                        ("t_b", 5, "2025-02-01")]
+    out = io.sql_over(spark, {"cs_t_a": a, "cs_t_b": b},
+                      "SELECT count(*) AS n FROM cs_t_a JOIN cs_t_b USING (x)").first()
+    assert out.n == 3
+
+
+def test_double_allocation_parity_variant_keeps_totals(spark):
+    from pyspark.sql import functions as F
+
+    from claimsmith.functions import money as M
+
+    df = spark.range(1, 8).select(F.col("id").cast("int").alias("seq"))
+    for total, n in [(4.69, 2), (100.0, 7), (0.05, 7)]:
+        sub = df.where(F.col("seq") <= n)
+        parts = [r.v for r in sub.select(M.allocate_decimal_double(F.lit(total), F.lit(n), F.col("seq")).alias("v"))
+                 .collect()]
+        assert round(sum(parts), 2) == total

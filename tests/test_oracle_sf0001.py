@@ -42,3 +42,16 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["n1_claims_kpi", "d9_claim_events"])
+def test_non_utc_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        got = _rows(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    assert got == _rows([d[0] for d in res.description], res.fetchall())
