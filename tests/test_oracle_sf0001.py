@@ -44,14 +44,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
 
 
-@pytest.mark.parametrize("name", ["n1_claims_kpi", "d9_claim_events"])
-def test_non_utc_session_time_zone(spark, duck, name):
-    old = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+@pytest.mark.parametrize("name,conf", [
+    ("n1_claims_kpi", ("spark.sql.session.timeZone", "America/Los_Angeles")),
+    ("d9_claim_events", ("spark.sql.session.timeZone", "America/Los_Angeles")),
+    ("c3_clean_claims_agg", ("spark.sql.ansi.enabled", "false")),
+    ("d10_prescription_events", ("spark.sql.ansi.enabled", "false")),
+])
+def test_session_settings_do_not_change_results(spark, duck, name, conf):
+    key, value = conf
+    old = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         df = E.queries()[name](spark, SF_SMALL)
         got = _rows(df.columns, df.collect())
     finally:
-        spark.conf.set("spark.sql.session.timeZone", old)
+        spark.conf.set(key, old)
     res = duck.execute(E.oracle_sql()[name])
     assert got == _rows([d[0] for d in res.description], res.fetchall())
