@@ -29,8 +29,10 @@ an int key would overflow past 2^31 rows.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark import StorageLevel
@@ -63,9 +65,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_SCOPE_LOCK = threading.Lock()
+_SCOPES: list[list[str]] = []
+
+
 def scratch_table_path(spark: SparkSession, kind: str) -> str:
-    """A fresh table location inside the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimsmith/{kind}-{uuid.uuid4().hex}"
+    """A fresh table location inside the shared checkpoint folder; recorded
+    in the innermost :func:`scratch_scope`, if any."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimsmith/{kind}-{uuid.uuid4().hex}"
+    with _SCOPE_LOCK:
+        if _SCOPES:
+            _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables created inside the block when it ends.
+
+    Use it around work whose outputs are written before the block closes
+    (a pipeline stage); DataFrames that still read a scratch table lazily
+    must not escape the block.
+    """
+    paths: list[str] = []
+    with _SCOPE_LOCK:
+        _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        with _SCOPE_LOCK:
+            _SCOPES.remove(paths)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
 
 
 def _order_expr(c: Column | str) -> Column:

@@ -21,6 +21,7 @@ from claimsmith.operators import quality as Q
 from claimsmith.operators import star as B
 from claimsmith.operators import synthesize as D
 from claimsmith.operators.analytics import table_row_counts
+from claimsmith.operators.keys import scratch_scope
 from claimsmith.sources import io
 
 # The reference's source contract.
@@ -181,6 +182,22 @@ def curated_row_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return table_row_counts(_read(spark, cfg.curated_root, DIMENSIONS + FACTS, cfg.run_date))
 
 
+def _scoped(stage: Callable[[SparkSession, PipelineConfig], None]) -> Callable[[SparkSession, PipelineConfig], None]:
+    """Run a stage and drop its scratch tables once its outputs are written."""
+    def run(spark: SparkSession, cfg: PipelineConfig) -> None:
+        with scratch_scope(spark):
+            stage(spark, cfg)
+
+    run.__name__ = stage.__name__
+    run.__doc__ = stage.__doc__
+    return run
+
+
+stage_clean = _scoped(stage_clean)
+synthesize_events = _scoped(synthesize_events)
+build_dimensions = _scoped(build_dimensions)
+build_facts = _scoped(build_facts)
+
 STAGES = {
     "stage_clean": stage_clean,
     "synthesize_events": synthesize_events,

@@ -51,3 +51,17 @@ def test_group_row_number(spark):
     df = spark.createDataFrame([(1, 5), (1, 3), (2, 9), (1, 4), (None, 1), (None, 0)], "g int, v int")
     got = {(r.g, r.v): r.step for r in group_row_number(df, ["g"], ["v"], "step").collect()}
     assert got == {(1, 3): 1, (1, 4): 2, (1, 5): 3, (2, 9): 1, (None, 0): 1, (None, 1): 2}
+
+
+def test_scratch_scope_removes_tables(spark):
+    import os
+
+    from claimsmith.operators.keys import scratch_scope
+
+    df = spark.range(0, 50).select(F.col("id").cast("string").alias("k"))
+    with scratch_scope(spark) as paths:
+        rows = add_surrogate_key(df, "sk", ["k"]).collect()
+        assert len(paths) == 1
+        local = paths[0].replace("file:", "")
+        assert os.path.exists(local)
+    assert len(rows) == 50 and not os.path.exists(local)
