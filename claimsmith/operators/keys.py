@@ -144,7 +144,36 @@ def add_surrogate_key(
         offsets.append(running)
         running += sizes.get(p, 0)
     offset = F.element_at(F.lit(offsets).cast("array<bigint>"), (pid + 1).cast("int"))
-    return tagged.select((offset + pos + 1).cast("bigint").alias(sk_name), *df.columns)
+    out = tagged.select((offset + pos + 1).cast("bigint").alias(sk_name), *df.columns)
+    out.cs_row_count = running  # exact row count, known without another job
+    return out
+
+
+def _broadcast_threshold(spark: SparkSession) -> int:
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+# Planning estimates of a value's size in bytes (strings: a short id or name).
+_FIELD_WIDTH = {"string": 20, "long": 8, "integer": 4, "double": 8, "date": 4, "boolean": 1, "timestamp": 8,
+                "timestamp_ntz": 8, "short": 2, "byte": 1, "float": 4}
+
+
+def bounded_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
+    """Mark ``df`` for broadcast only when its exact row count times its row
+    width fits ``spark.sql.autoBroadcastJoinThreshold``; otherwise leave the
+    join strategy to the planner (sort-merge, AQE skew handling)."""
+    if rows is None:
+        return df
+    limit = _broadcast_threshold(df.sparkSession)
+    width = 8 + sum(_FIELD_WIDTH.get(f.dataType.typeName(), 16) for f in df.schema.fields)
+    if limit > 0 and rows * width <= limit:
+        return F.broadcast(df)
+    return df
 
 
 def dedup_keep_smallest(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,7 +20,8 @@ from claimsmith.operators import synthesize as D
 from claimsmith.sources import adapters as A
 from claimsmith.sources.io import materialize
 
-# Staging frames read by more than one builder are written once.
+# Staging frames read by more than one builder are written once (the two
+# lineitem-based event kinds share one written join of the order lines).
 SHARED_STAGING = ("stg_claims_events", "stg_prescriptions_events", "stg_visits_events")
 
 
@@ -34,11 +35,21 @@ class Star:
         self._lazy = A.staging_tables(self.t)
         self._staged: dict[str, DataFrame] = {}
 
+    @cached_property
+    def _order_lines(self) -> DataFrame:
+        return materialize(A.order_lines(self.t), "order_lines")
+
     def staging(self, name: str) -> DataFrame:
         if name not in SHARED_STAGING:
             return self._lazy[name]
         if name not in self._staged:
-            self._staged[name] = materialize(self._lazy[name], name)
+            if name == "stg_claims_events":
+                df = A.claim_events(self.t, self._order_lines)
+            elif name == "stg_prescriptions_events":
+                df = A.prescription_events(self.t, self._order_lines)
+            else:
+                df = materialize(self._lazy[name], name)
+            self._staged[name] = df
         return self._staged[name]
 
     @property

@@ -137,9 +137,15 @@ def _lines(t: Tables, with_orders: bool) -> DataFrame:
     return j
 
 
-def claim_events(t: Tables) -> DataFrame:
+def order_lines(t: Tables) -> DataFrame:
+    """lineitem with supplier region, part type and order customer: the one
+    join both event kinds project from (write it once when both are used)."""
+    return _lines(t, with_orders=True)
+
+
+def claim_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     """One claim per lineitem row (duplicate line ids give duplicate claim ids)."""
-    j = _lines(t, with_orders=True)
+    j = order_lines(t) if lines is None else lines
     category = F.lower(F.col("p_type"))
     claim_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     return j.select(
@@ -157,8 +163,8 @@ def claim_events(t: Tables) -> DataFrame:
     )
 
 
-def prescription_events(t: Tables) -> DataFrame:
-    j = _lines(t, with_orders=True)
+def prescription_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+    j = order_lines(t) if lines is None else lines
     category = F.lower(F.col("p_type"))
     rx_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                         F.col("l_partkey").cast("string"))
