@@ -118,15 +118,19 @@ def add_surrogate_key(
     spark = df.sparkSession
     rest = [c for c in df.columns if c not in order_cols]
     ordering = [_order_expr(c) for c in order_cols + rest] + [F.col(_SALT).asc()]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_table_path(spark, sk_name)
     # Range partitioning samples its input in a separate job; keeping the
     # salted input (memory, spilling to disk) spares recomputing upstream
     # joins for the write. Lost blocks are recomputed from lineage.
     salted = df.withColumn(_SALT, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # Without an explicit count AQE may merge adjacent (small) range
+        # partitions; the order survives because only neighbours are merged
+        # and the position tag is taken after the merged read.
+        ranged = (salted.repartitionByRange(num_partitions, *ordering) if num_partitions
+                  else salted.repartitionByRange(*ordering))
         (
-            salted.repartitionByRange(n, *ordering)
+            ranged
             .sortWithinPartitions(*ordering)
             .drop(_SALT)
             .withColumn(_MID, F.monotonically_increasing_id())
