@@ -37,7 +37,11 @@ def test_ingestion_fell_back_everywhere(spark, lake):
     assert all(r.used_fallback and r.status == "fallback_sample" for r in records)
     assert {r.source_name: r.records for r in records} == {"providers": 5, "claims": 6, "prescriptions": 5,
                                                             "regions": 5}
-    summary = io.source_health_summary(spark.createDataFrame(records, io.INGESTION_SCHEMA)).first()
+    records_df = spark.createDataFrame(records, io.INGESTION_SCHEMA)
+    report = io.source_health_report(records_df)
+    assert report.columns == ["source_name", "status", "used_fallback", "records", "source_url", "fallback_file"]
+    assert {r.fallback_file for r in report.collect()} == {f"{n}_sample.csv" for n in G.SOURCES}
+    summary = io.source_health_summary(records_df).first()
     assert (summary.total_sources, summary.downloaded_count, summary.fallback_count, summary.fallback_ratio) == (
         4, 0, 4, 1.0)
 
