@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimsmith.operators import clean as CL
 from claimsmith.operators import quality as Q
@@ -48,6 +49,7 @@ class PipelineConfig:
     visit_threshold: int = D.DEFAULT_VISIT_THRESHOLD
     allowed_status: tuple[str, ...] = Q.ALLOWED_CLAIM_STATUS
     pandas_missing_tokens: bool = True         # null 'NA', 'null', ... like the reference's ingest
+    fail_on_error: bool = False                # the reference records FAILs and goes on
     sources: dict[str, dict] = field(default_factory=dict)
 
     @property
@@ -174,7 +176,10 @@ def quality_checks(spark: SparkSession, cfg: PipelineConfig, run_id: str | None
                                  ("fact_claims", "dim_patient", "dim_provider", "fact_reimbursements")}))
     results = Q.with_run_columns(rows, run_id, cfg.run_date)
     io.append_check_results(results, f"{cfg.quality_root}/check_results")
-    return spark.read.parquet(f"{cfg.quality_root}/check_results").where(f"run_id = '{run_id}'")
+    stored = spark.read.parquet(f"{cfg.quality_root}/check_results").where(F.col("run_id") == F.lit(run_id))
+    if cfg.fail_on_error:
+        Q.raise_on_failures(stored)
+    return stored
 
 
 def curated_row_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

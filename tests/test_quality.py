@@ -72,3 +72,12 @@ def test_sql_checks(spark):
     assert res["sql_reimbursement_claim_totals_match"] == ("PASS", "fail_count=0")
     rows = Q.with_run_columns(Q.sql_check_rows(spark, curated), "r1", "2025-02-01").collect()
     assert {r.run_id for r in rows} == {"r1"} and all(r.checked_at is not None for r in rows)
+
+
+def test_raise_on_failures(spark):
+    import pytest
+
+    bad = Q.python_check_rows(*_frames(spark, bad_amount=True))
+    with pytest.raises(Q.QualityCheckFailed, match="python_amount_constraints: violations=1"):
+        Q.raise_on_failures(bad)
+    Q.raise_on_failures(Q.python_check_rows(*_frames(spark)))  # all PASS: no error
