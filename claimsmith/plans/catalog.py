@@ -176,6 +176,14 @@ def kpi_synthesized(t: A.Tables) -> DataFrame:
     return N.claims_kpi(B.reimbursement_totals(lines), dates)
 
 
+def coarse_fact_claims(s: Star) -> DataFrame:
+    """fact_claims of the coarse variant (nation providers, yearly dates);
+    patients and treatments are the star's own dimensions."""
+    provider = B.dim_provider(A.nation_providers(s.t), s.dim_region)
+    events = A.coarse_claim_events(s.t, s._order_lines)
+    return B.fact_claims(events, s.dim_patient, provider, s.dim_treatment)
+
+
 def _kpi_inputs(s: Star) -> Star:
     s.dim_region  # shared by the provider dimension: keyed once, first
     return s.prefetch("stg_claims_events", "stg_visits_events").prefetch("dim_provider", "dim_treatment")
@@ -199,6 +207,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(s.fact_claims)),
     "n4_provider_anomaly_top20": _star(lambda s: N.provider_anomaly_ranking(s.fact_claims)),
     "n5_provider_snapshot": _star(lambda s: N.provider_snapshot(s.fact_claims)),
+    "n3_claim_anomaly_features_coarse": _star(lambda s: N.claim_anomaly_features(coarse_fact_claims(s))),
+    "n4_provider_anomaly_top20_coarse": _star(lambda s: N.provider_anomaly_ranking(coarse_fact_claims(s))),
     # star builders
     "b1_dim_region": _star(lambda s: s.dim_region),
     "b2_dim_provider": _star(lambda s: s.dim_provider),

@@ -124,7 +124,8 @@ def _reimbursed_dec() -> Column:
 
 def _supplier_region(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    return s.join(_nation(t), s.s_nationkey == F.col("n_nationkey"), "left").select("s_suppkey", "n_regionkey")
+    return s.join(_nation(t), s.s_nationkey == F.col("n_nationkey"), "left").select(
+        "s_suppkey", "s_nationkey", "n_regionkey")
 
 
 def _lines(t: Tables, with_orders: bool) -> DataFrame:
@@ -163,6 +164,39 @@ def claim_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     )
 
 
+def nation_providers(t: Tables) -> DataFrame:
+    """Providers of the coarse variant: one per nation."""
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    return n.select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("provider_id"),
+        F.col("n_name").alias("provider_name"),
+        _by_key(PROVIDER_TYPES, F.col("n_nationkey")).alias("provider_type"),
+        _region_id("n_regionkey").alias("region_id"),
+    )
+
+
+def coarse_claim_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """Claim events at a coarse grain for the duplicate-pattern report: the
+    provider is the supplier's nation and the date is the first day of the
+    ship year, so (patient, provider, treatment, date) repeats often."""
+    j = order_lines(t) if lines is None else lines
+    category = F.lower(F.col("p_type"))
+    claim_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return j.select(
+        claim_id.alias("claim_id"),
+        _pad_id("C", "o_custkey").alias("patient_id"),
+        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("provider_id"),
+        _region_id("n_regionkey").alias("region_id"),
+        H.category_id(category).alias("treatment_id"),
+        category.alias("treatment_category"),
+        F.make_date(F.year("l_shipdate"), F.lit(1), F.lit(1)).alias("claim_date"),
+        _price_cents_dec().cast("double").alias("billed_amount"),
+        _reimbursed_dec().cast("double").alias("reimbursed_amount"),
+        _status(F.col("l_returnflag")).alias("claim_status"),
+        claim_id.alias("source_row_key"),
+    )
+
+
 def prescription_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     j = order_lines(t) if lines is None else lines
     category = F.lower(F.col("p_type"))
