@@ -88,6 +88,9 @@ def main() -> None:
     timed("n5_provider_snapshot_curated", lambda: N.provider_snapshot(cur["fact_claims"]).collect())
     timed("n1_claims_kpi_from_tables", lambda: QUERIES["n1_claims_kpi"](spark, sf_dir).collect())
 
+    from claimsmith.operators.keys import clear_scratch
+
+    clear_scratch(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "pipeline_and_queries_total",

@@ -79,6 +79,19 @@ def scratch_table_path(spark: SparkSession, kind: str) -> str:
     return path
 
 
+def _delete_path(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(conf).delete(hp, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch table this application wrote (the checkpoint
+    folder Spark hands out is already per application). Call it once the
+    DataFrames of registered queries are no longer needed."""
+    _delete_path(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimsmith")
+
+
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """Delete the scratch tables created inside the block when it ends.
@@ -95,10 +108,8 @@ def scratch_scope(spark: SparkSession):
     finally:
         with _SCOPE_LOCK:
             _SCOPES.remove(paths)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for p in paths:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            hp.getFileSystem(conf).delete(hp, True)
+            _delete_path(spark, p)
 
 
 def _order_expr(c: Column | str) -> Column:

@@ -65,3 +65,15 @@ def test_scratch_scope_removes_tables(spark):
         local = paths[0].replace("file:", "")
         assert os.path.exists(local)
     assert len(rows) == 50 and not os.path.exists(local)
+
+
+def test_clear_scratch(spark):
+    import os
+
+    from claimsmith.operators.keys import clear_scratch, ensure_checkpoint_dir
+
+    add_surrogate_key(spark.range(3).select(F.col("id").cast("string").alias("k")), "sk", ["k"]).collect()
+    root = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/") + "/claimsmith"
+    assert os.path.exists(root)
+    clear_scratch(spark)
+    assert not os.path.exists(root)
