@@ -120,3 +120,15 @@ def test_double_allocation_parity_variant_keeps_totals(spark):
         parts = [r.v for r in sub.select(M.allocate_decimal_double(F.lit(total), F.lit(n), F.col("seq")).alias("v"))
                  .collect()]
         assert round(sum(parts), 2) == total
+
+
+def test_missing_parquet_table_and_bad_layer(spark, tmp_path):
+    from claimsmith.plans import pipeline as P
+
+    spark.range(2).write.parquet(str(tmp_path / "present"))
+    tables = io.read_parquet_tables(spark, str(tmp_path), ["present"])
+    assert tables["present"].count() == 2
+    with pytest.raises(FileNotFoundError, match="absent"):
+        io.read_parquet_tables(spark, str(tmp_path), ["present", "absent"])
+    with pytest.raises(ValueError):
+        P.run_transformations(spark, P.PipelineConfig(root=str(tmp_path), run_date="2025-02-01"), "everything")
