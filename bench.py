@@ -67,13 +67,19 @@ def main() -> None:
                  for n in P.SOURCE_COLUMNS},
     )
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
+        """Time one step; a failing step is reported (time null) instead of
+        ending the run without a result line."""
         t0 = time.perf_counter()
-        out = fn()
-        times[name] = round(time.perf_counter() - t0, 3)
-        return out
+        try:
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - reported in the JSON line
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
 
     timed("ingest", lambda: P.ingest(spark, cfg).collect())
     for stage, fn in P.STAGES.items():
@@ -92,13 +98,16 @@ def main() -> None:
 
     clear_scratch(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    result = {
         "metric": "pipeline_and_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
