@@ -9,7 +9,9 @@ order, like the reference's golden run: ingest (primary missing -> fallback,
 S2-S5), stage_clean (C1-C4), synthesize_events (D9-D13), build_dimensions
 (B1-B5), build_facts (B6-B9), quality_checks (Q1-Q12), then the serving
 queries over the written curated tables (N1, N2, N4, N5) and the flagship
-catalog query computed from the raw test tables. Prints one JSON line.
+catalog query computed from the raw test tables. Prints one JSON line; its
+``reference_scale_stages`` field times the same stages on the reference's own
+21 sample rows (not part of ``value``).
 """
 
 from __future__ import annotations
@@ -94,6 +96,27 @@ def main() -> None:
     timed("n5_provider_snapshot_curated", lambda: N.provider_snapshot(cur["fact_claims"]).collect())
     timed("n1_claims_kpi_from_tables", lambda: QUERIES["n1_claims_kpi"](spark, sf_dir).collect())
 
+    # The same stages on the reference's own 21 sample rows (its golden-run
+    # input), reported apart from the sf0.1 total for a same-input comparison.
+    from tests import golden as G
+
+    sample_dir = f"{scratch}/sample"
+    os.makedirs(sample_dir, exist_ok=True)
+    for name, rows in G.SOURCES.items():
+        G.write_csv(f"{sample_dir}/{name}_sample.csv", rows, bom=True)
+    small = P.PipelineConfig(
+        root=f"{scratch}/sample_lake", run_date=run_date, seed=G.GOLDEN_SEED,
+        sources={n: {"primary": f"{scratch}/unreachable/{n}.csv", "fallback": f"{sample_dir}/{n}_sample.csv"}
+                 for n in G.SOURCES},
+    )
+    reference_scale: dict[str, float] = {}
+    for name, fn in [("ingest", lambda: P.ingest(spark, small).collect())] + [
+            (k, (lambda f=f: f(spark, small))) for k, f in P.STAGES.items()] + [
+            ("quality_checks", lambda: P.quality_checks(spark, small).collect())]:
+        t0 = time.perf_counter()
+        fn()
+        reference_scale[name] = round(time.perf_counter() - t0, 3)
+
     from claimsmith.operators.keys import clear_scratch
 
     clear_scratch(spark)
@@ -105,6 +128,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
     }
+    result["reference_scale_stages"] = reference_scale
     if errors:
         result["errors"] = errors
     print(json.dumps(result))
