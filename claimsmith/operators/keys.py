@@ -20,6 +20,9 @@ PARTITION BY, which Spark runs in a single task -- by a distributed
    ``spark.sql.shuffle.partitions`` numbers -- and add the prefix offsets
    with a projection (``element_at`` of a literal array), no join.
 
+The exact row count falls out of step 4 for free; ``bounded_broadcast``
+uses it to broadcast small dimensions behind a real size check.
+
 The key is dense (1..n), follows the ordering exactly (nulls first, like
 the reference's ascending window), and equals the single-partition
 ``row_number`` whenever the ordering is total; rows that are complete copies
