@@ -37,6 +37,7 @@ import os
 import tempfile
 import threading
 import uuid
+import warnings
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,18 +48,29 @@ _MID = "__cs_mid"
 _SALT = "__cs_salt"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions do not expose it
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session without
     one gets a fresh scratch folder (tests, laptops)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if sc is None:
+            return conf_dir
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...) "
             "so surrogate-key tables survive executor loss"
@@ -83,7 +95,13 @@ def scratch_table_path(spark: SparkSession, kind: str) -> str:
 
 
 def _delete_path(spark: SparkSession, path: str) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    """Delete through the cluster's Hadoop FileSystem (any shared storage).
+    Best effort: a session without JVM access (Spark Connect) keeps them."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001
+        warnings.warn(f"cannot delete scratch table {path} from this session")
+        return
     hp = jvm.org.apache.hadoop.fs.Path(path)
     hp.getFileSystem(conf).delete(hp, True)
 
