@@ -194,8 +194,9 @@ def _broadcast_threshold(spark: SparkSession) -> int:
     return int(raw)
 
 
-# Planning estimates of a value's size in bytes (strings: a short id or name).
-_FIELD_WIDTH = {"string": 20, "long": 8, "integer": 4, "double": 8, "date": 4, "boolean": 1, "timestamp": 8,
+# Estimates of a value's size in bytes; strings are counted generously (ids,
+# names) so that the check errs towards not broadcasting.
+_FIELD_WIDTH = {"string": 48, "long": 8, "integer": 4, "double": 8, "date": 4, "boolean": 1, "timestamp": 8,
                 "timestamp_ntz": 8, "short": 2, "byte": 1, "float": 4}
 
 
