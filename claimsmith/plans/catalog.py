@@ -143,11 +143,15 @@ def _tables(fn: Callable[[A.Tables], DataFrame]) -> Callable[[SparkSession, str]
 # --------------------------------------------------------- synthesis flow
 
 def synthesized_claims(t: A.Tables, yearly: bool = False) -> DataFrame:
-    return D.synthesize_claim_events(CL.clean_claims_agg(A.claims_agg(t, yearly=yearly)))
+    # The cleaned aggregate is small and read twice (expansion sizing, then
+    # the expansion): written once, like the pipeline's staging table.
+    agg = materialize(CL.clean_claims_agg(A.claims_agg(t, yearly=yearly)), "stg_claims_agg")
+    return D.synthesize_claim_events(agg)
 
 
 def synthesized_prescriptions(t: A.Tables) -> DataFrame:
-    return D.synthesize_prescription_events(CL.clean_prescriptions_agg(A.prescriptions_agg(t)))
+    agg = materialize(CL.clean_prescriptions_agg(A.prescriptions_agg(t)), "stg_prescriptions_agg")
+    return D.synthesize_prescription_events(agg)
 
 
 def synthesized_staging(t: A.Tables) -> dict[str, DataFrame]:
