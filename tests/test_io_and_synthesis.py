@@ -132,3 +132,12 @@ def test_missing_parquet_table_and_bad_layer(spark, tmp_path):
         io.read_parquet_tables(spark, str(tmp_path), ["present", "absent"])
     with pytest.raises(ValueError):
         P.run_transformations(spark, P.PipelineConfig(root=str(tmp_path), run_date="2025-02-01"), "everything")
+
+
+def test_one_huge_aggregate_row_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    agg = _claims(spark, 100_000, 1_000_000.0, 900_000.0)
+    ev = D.synthesize_claim_events(agg, seed=3, num_partitions=4)
+    per_part = [r["count"] for r in ev.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_part) == 100_000 and len(per_part) >= 3 and max(per_part) < 60_000

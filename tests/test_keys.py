@@ -77,3 +77,12 @@ def test_clear_scratch(spark):
     assert os.path.exists(root)
     clear_scratch(spark)
     assert not os.path.exists(root)
+
+
+def test_hot_key_spans_several_partitions(spark):
+    # one key holds every row; the tie-break columns and the salt still split it
+    hot = spark.range(0, 4000).select(F.lit("hot").alias("k"), (F.col("id") % 2).alias("v"))
+    keyed = add_surrogate_key(hot, "sk", ["k"], num_partitions=4)
+    files = keyed.select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= 3
+    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 4001))
