@@ -201,3 +201,13 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def stage_row_counts(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """(layer, table_name, row_count) for every table of every layer, one job."""
+    parts = [table_row_counts(tables).select(F.lit(layer).alias("layer"), "table_name", "row_count")
+             for layer, tables in layers.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -232,6 +232,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "x4_regional_report": _star(
         lambda s: N.regional_report(s.fact_claims, s.dim_provider, s.dim_region, s.dim_treatment)),
     "s13_table_row_counts": _star(lambda s: N.table_row_counts(s.curated())),
+    "x6_stage_row_counts": _star(lambda s: N.stage_row_counts({
+        "staging": {n: s.stg[n] for n in ("stg_regions", "stg_providers", "stg_patients", "stg_claims_events",
+                                          "stg_prescriptions_events", "stg_visits_events")},
+        "curated": s.curated()})),
     # cleaning of dirty raw text
     "c1_clean_providers": _tables(lambda t: CL.clean_providers(A.raw_providers(t))),
     "c2_clean_regions": _tables(lambda t: CL.clean_regions(A.raw_regions(t))),
