@@ -182,6 +182,23 @@ def quality_checks(spark: SparkSession, cfg: PipelineConfig, run_id: str | None
     return stored
 
 
+def publish_metadata(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Run date, publication time and the curated tables with their row
+    counts, written as one small JSON table under ``<root>/metadata``."""
+    meta = io.run_metadata(curated_row_counts(spark, cfg), cfg.run_date)
+    meta.coalesce(1).write.mode("overwrite").json(f"{cfg.root}/metadata/run_date={cfg.run_date}")
+    return spark.read.schema(meta.schema).json(f"{cfg.root}/metadata/run_date={cfg.run_date}")
+
+
+def load_serving(spark: SparkSession, cfg: PipelineConfig, url: str, schema: str = "curated",
+                 properties: dict[str, str] | None = None) -> None:
+    """Replace each curated table of the run date in a JDBC database;
+    executors write their partitions in parallel (batches of 1000 rows)."""
+    tables = _read(spark, cfg.curated_root, DIMENSIONS + FACTS, cfg.run_date)
+    run_concurrently({name: (lambda name=name, df=df: io.write_jdbc(df, url, f"{schema}.{name}", properties))
+                      for name, df in tables.items()})
+
+
 def curated_row_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Rows per curated table of the run date, one job."""
     return table_row_counts(_read(spark, cfg.curated_root, DIMENSIONS + FACTS, cfg.run_date))

@@ -55,6 +55,14 @@ def test_curated_row_counts(spark, lake):
     }
 
 
+def test_publish_metadata(spark, lake):
+    cfg, _, _, _ = lake
+    meta = P.publish_metadata(spark, cfg).collect()
+    assert [r.table_name for r in meta] == sorted(P.DIMENSIONS + P.FACTS)
+    assert {r.run_date for r in meta} == {"2025-02-01"} and all(r.published_at for r in meta)
+    assert {r.table_name: r.row_count for r in meta}["fact_visits"] == 85
+
+
 def test_monthly_kpi(lake):
     _, _, _, cur = lake
     rows = [tuple(r) for r in N.claims_kpi(cur["fact_reimbursements"], cur["dim_date"]).collect()]
