@@ -49,6 +49,7 @@ def test_query_matches_oracle(spark, duck, name):
     ("d9_claim_events", ("spark.sql.session.timeZone", "America/Los_Angeles")),
     ("c3_clean_claims_agg", ("spark.sql.ansi.enabled", "false")),
     ("d10_prescription_events", ("spark.sql.ansi.enabled", "false")),
+    ("b6_fact_claims", ("spark.sql.adaptive.enabled", "false")),
 ])
 def test_session_settings_do_not_change_results(spark, duck, name, conf):
     key, value = conf
