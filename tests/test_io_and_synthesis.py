@@ -141,3 +141,15 @@ def test_one_huge_aggregate_row_is_spread(spark):
     ev = D.synthesize_claim_events(agg, seed=3, num_partitions=4)
     per_part = [r["count"] for r in ev.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(per_part) == 100_000 and len(per_part) >= 3 and max(per_part) < 60_000
+
+
+def test_run_concurrently_returns_results_and_raises_failures():
+    from claimsmith.plans.pipeline import run_concurrently
+
+    assert run_concurrently({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
+
+    def boom():
+        raise OSError("write failed")
+
+    with pytest.raises(OSError, match="write failed"):
+        run_concurrently({"ok": lambda: 1, "bad": boom})
