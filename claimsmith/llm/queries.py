@@ -11,8 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm import simhash
-from claimsmith.llm.common import read_table
+from claimsmith.llm import decontaminate, line_dedup, mixing, rabitq, simhash, token_files
+from claimsmith.llm.common import LOWER, UPPER, read_table
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_rabitq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +37,52 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", F.col("contamination.n_words").alias("n_words"), F.col("contamination.n_hit").alias("n_hit"),
+        F.size("contamination.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("contamination.items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, min_documents=10))
+    kept = line_dedup.kept_text(F.col("text"), F.col("keep"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM lines),
+frequent AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f USING (key)
+GROUP BY doc_id
+"""
+
+
+def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.encode_and_index(docs, tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_rabitq_neighbours": op1_rabitq_neighbours,
+    "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_token_id_files": op9_token_id_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
