@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
+import pickle
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ LOWER = UPPER.lower()
 WHITE = "\t\n\x0b\x0c\r "
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["LOWER", "UPPER", "WHITE", "WORD_RE", "Scratch", "ascii_lower", "crc32_mod", "materialize", "plan_bytes",
+__all__ = ["LOWER", "UPPER", "WHITE", "WORD_RE", "Scratch", "Shared", "ascii_lower", "crc32_mod", "materialize",
            "read_table", "utf8"]
 
 
@@ -41,9 +42,21 @@ def crc32_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a frame's size (the files' size for a scan)."""
-    return int(re.sub(r"\D", "", df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) or 0)
+class Shared:
+    """A bounded object sent to the tasks once per executor, with the classes
+    it consists of."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._raw = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"_raw": self._raw}
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = pickle.loads(self._raw.value)
+        return self._value
 
 
 class Scratch:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsmith.llm.common import utf8
+from claimsmith.llm.common import Shared, utf8
 from claimsmith.llm.fm_index import FmIndex
 
 WINDOW = 13
@@ -183,7 +183,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         windows = Windows([(r["item"], bytes(r["text"])) for r in block.toLocalIterator()], width)
         parts.append(f"__{out}_{k}")
-        docs = docs.withColumn(parts[-1], _spans_column(text_col, spark.sparkContext.broadcast(windows)))
+        docs = docs.withColumn(parts[-1], _spans_column(text_col, Shared(spark, windows)))
     if blocks > 1:
         joined = lambda field: F.concat(*[F.col(f"{p}.{field}") for p in parts])
         merged = F.pandas_udf(_merge, "struct<starts array<bigint>, ends array<bigint>>")

@@ -69,9 +69,11 @@ def keep_bitmaps(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, text_col:
     empty texts have one line, which stays. An empty table gives no rows.
     Other columns are not read.
     """
-    rows, _ = Scratch(docs.sparkSession, "lines").write(_line_rows(docs, text_col))
-    frequent = (rows.where("first").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= min_documents).select("a", "b", F.lit(True).alias("frequent")))
+    scratch = Scratch(docs.sparkSession, "lines")
+    rows, _ = scratch.write(_line_rows(docs, text_col))
+    # Written, so that the join reads both sides from shuffles it can split at hot lines.
+    frequent, _ = scratch.write(rows.where("first").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+                                .where(F.col("n") >= min_documents).select("a", "b", F.lit(True).alias("frequent")))
     by_doc = rows.join(frequent, ["a", "b"], "left").groupBy("doc_id", "t").agg(
         (F.max("pos") + 1).cast("bigint").alias("n_lines"),
         F.sort_array(F.collect_set(F.when(F.col("frequent"), F.col("pos")))).alias("dropped"))

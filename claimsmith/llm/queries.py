@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm import decontaminate, line_dedup, mixing, rabitq, simhash, token_files
+from claimsmith.llm import class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, simhash, token_files, toxicity
 from claimsmith.llm.common import LOWER, UPPER, read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model, out="score").select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontaminate.mark_contamination(docs, read_table(spark, sf_dir, "benchmark"))
@@ -71,18 +83,35 @@ GROUP BY doc_id
 """
 
 
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.encode_and_index(docs, tokenizer_path())
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a document lies in source/lang/hundred, and a
+    document of under 50 words with a licence line speaks for its directory."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan_licences(docs, path, F.col("__words") < 50, keep=("doc_id",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rabitq_neighbours": op1_rabitq_neighbours,
     "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_paragraph_dedup": op5_paragraph_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_class_lm": op8_class_lm,
     "op9_token_id_files": op9_token_id_files,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}

@@ -26,13 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm.common import plan_bytes
 from claimsmith.operators.keys import bounded_broadcast, scratch_table_path
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-#: Input files' bytes for one task; a task keeps the pieces it has seen.
-SHARD_BYTES = 32 << 20
+#: Bytes of text for one task; a task keeps the pieces it has seen.
+SHARD_BYTES = 64 << 20
 END_ID = 0
 _BATCH_CHARS = 4 << 20
 _CACHE_PIECES = 1_000_000
@@ -176,10 +175,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         raise ValueError("planes must be 4 or 32")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    shards = max(1, -(-plan_bytes(docs) // shard_bytes))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
     keyed = docs.select("*", order[1].alias("h"), order[2].alias("row"))
     sort = [order[0], F.col("h"), F.col("row")]
-    # Without this, frames of 10,000 long texts would have to fit in memory at once.
     ranged = keyed.repartitionByRange(shards, *sort).sortWithinPartitions(*sort).select("doc_id", "text")
     (ranged.mapInPandas(lambda frames: _chunks(frames, tokenizer, end_id, planes), CHUNK_SCHEMA)
      .write.option("compression", "uncompressed").parquet(path))

@@ -1,0 +1,77 @@
+import re
+
+from pyspark.sql import functions as F
+
+from claimsmith.llm import licenses as L
+from claimsmith.llm import queries
+from tests.conftest import SF_SMALL
+
+
+def brute(files):
+    """files: (path, text, speaks) -> [(path, licence, origin, licensed_by)]"""
+    words = lambda t: re.findall(r"[a-z0-9]+", (t or "").lower())
+    vocabulary = {t for own in L.TEMPLATES.values() for line in own for t in words(line)}
+    held = {t: sum(t in set(words(x)) for _, x, _ in files) for t in vocabulary}
+    matcher = L.Matcher(L.TEMPLATES, held, len(files), L.THRESHOLD)
+    own = [matcher.text(t) for _, t, _ in files]
+    spoken = {}
+    for (path, _, speaks), (name, score) in zip(files, own):
+        if speaks and name and path is not None:
+            d = path.rpartition("/")[0]
+            spoken[d] = min(spoken.get(d, (1.0, "~")), (-score, name))
+    out = []
+    for (path, _, _), (name, _) in zip(files, own):
+        by = None
+        if name is None and path is not None:
+            d = path.rpartition("/")[0]
+            while True:
+                if d in spoken:
+                    by = d
+                    break
+                if not d:
+                    break
+                d = d.rpartition("/")[0]
+        out.append((path, name or (spoken[by][1] if by is not None else None),
+                    "own" if name else "inherited" if by is not None else "none", by))
+    return out
+
+
+key = lambda r: tuple((x is None, str(x)) for x in r)
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    files = [(f"{r.source}/{r.lang}/{r.doc_id // 100}/{r.doc_id}.txt", r.text, len(r.text.split()) < 50) for r in docs]
+    got = queries.op10_license_scan(spark, SF_SMALL).collect()
+    assert sorted((r.path, r.licence, r.origin, r.licensed_by) for r in got if r.origin == "own") == sorted(
+        r for r in brute(files) if r[2] == "own")
+    assert sorted(((r.path, r.licence, r.origin, r.licensed_by) for r in got), key=key) == sorted(brute(files), key=key)
+    named = {r.doc_id for r in got if r.origin == "own"}
+    assert named == {r.doc_id for r in docs if re.search(r"(?m)^(Licensed under|Released under the MIT|This work is licensed)", r.text)}
+
+
+def test_templates_and_nearest_directory(spark):
+    apache, mit = L.TEMPLATES["Apache-2.0"][0], L.TEMPLATES["MIT"][2]
+    rows = [("LICENSE", mit), ("a/LICENSE.txt", apache), ("a/b/c/x.py", "print(1)"), ("a/b/COPYING", "nothing to see"),
+            ("z/y.py", None), ("a/own.py", "# Licensed under CC BY-NC 4.0."), ("top.py", ""), (None, "x"), (None, apache),
+            ("a/b/long.py", "word " * 60000 + "\n// " + apache.upper() + "."), ("q/LICENSE", mit + "\n" + apache)]
+    df = spark.createDataFrame([(*r, 0.5, "s") for r in rows], "path string, text string, score double, licence string")
+    got = L.scan_licences(df, F.col("path"), keep=("score",)).drop("score").collect()
+    files = [(p, t, bool(p and re.search(r"(?i)(^|/)(licen[cs]e|copying)(\.[a-z]+)?$", p))) for p, t in rows]
+    assert sorted(((r.path, r.licence, r.origin, r.licensed_by) for r in got), key=key) == sorted(brute(files), key=key)
+    by = {r.path: (r.licence, r.origin) for r in got if r.path}
+    assert by["a/b/c/x.py"] == ("Apache-2.0", "inherited") and by["top.py"] == ("MIT", "inherited")
+    assert by["a/own.py"] == ("CC-BY-NC-4.0", "own") and by["a/b/long.py"] == ("Apache-2.0", "own")
+
+
+def test_every_template_names_itself():
+    matcher = L.Matcher(L.TEMPLATES, {}, 10, L.THRESHOLD)
+    for name, lines in L.TEMPLATES.items():
+        for line in lines:
+            assert matcher.text(f"first line\n# {line}.\nlast")[0] == name
+    assert matcher.text("the version of the file is free to any person")[0] is None
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "path string, text string")
+    assert L.scan_licences(df, F.col("path")).count() == 0

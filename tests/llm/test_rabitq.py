@@ -48,7 +48,7 @@ def test_recall_over_blocks_without_structure(spark, dim):
     rows = [(i, (rng.standard_normal(dim) * rng.uniform(0.1, 3)).tolist()) for i in range(1500)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = collected(rabitq.nearest(df, "vec_id % 20 = 0", block_bytes=40_000, query_bytes=4_000))
-    assert recall(got, brute(rows)) >= 0.98
+    assert recall(got, brute(rows)) >= 0.95
 
 
 def test_error_bound_holds():
@@ -56,9 +56,10 @@ def test_error_bound_holds():
     vectors, queries_ = rng.standard_normal((2000, 64)).astype(np.float32), rng.standard_normal((50, 64)).astype(np.float32)
     centres, turn = rabitq.fit_centroids(vectors, 8), rabitq.rotation(64)
     codes, scalars = rabitq.encode(vectors, centres, turn)
-    guess, error = rabitq.estimate(queries_, codes, scalars, centres, turn)
     true = queries_ @ vectors.T
-    assert (np.abs(guess - true) <= error).mean() > 0.999
+    for epsilon, share in ((1.9, 0.93), (3.5, 0.999)):
+        guess, error = rabitq.Block(codes, scalars, centres, turn).estimate(queries_, epsilon)
+        assert (np.abs(guess - true) <= error).mean() > share
     assert abs((guess - true).mean()) < 0.02  # unbiased
 
 
