@@ -19,16 +19,11 @@ def month_start(month: Column | str) -> Column:
 
 
 def day_in_spread(first_day: Column | str, seq: Column | str) -> Column:
-    """first_day + (seq - 1) mod 28 days (row 29 wraps to day 1)."""
+    """first_day + (seq - 1) mod 28 days (row 29 wraps to day 1)."""
     offset = F.pmod(_col(seq).cast("bigint") - 1, F.lit(DAYS_PER_SPREAD).cast("bigint")).cast("int")
     return F.date_add(_col(first_day), offset)
 
 
-def spread_in_month(month: Column | str, seq: Column | str) -> Column:
-    """Month-01 + (seq - 1) mod 28 days."""
-    return day_in_spread(month_start(month), seq)
-
-
 def date_key(d: Column | str) -> Column:
     """yyyyMMdd as int (E18), computed arithmetically: no formatter involved."""
     d = _col(d)

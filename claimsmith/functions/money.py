@@ -18,8 +18,8 @@ def _col(c: Column | str) -> Column:
 
 def to_cents(c: Column | str) -> Column:
     """Money (double / decimal / text) -> bigint cents, half-up on the cent."""
-    dec = _col(c).try_cast("decimal(18,2)")
-    return (dec * F.lit(100)).cast("bigint")
+    dec = _col(c).try_cast("decimal(36,2)")
+    return (dec * F.lit(100)).try_cast("bigint")
 
 
 def cents_to_double(c: Column | str) -> Column:
@@ -54,16 +54,6 @@ def allocate_cents(total_cents: Column, n: Column, seq: Column) -> Column:
     return F.when(seq < n, unit).otherwise(total_cents - unit * (n - 1))
 
 
-def allocate_decimal_double(total: Column, n: Column, seq: Column) -> Column:
-    """Literal double form of D6 (``bround`` on doubles), kept for parity tests.
-
-    Differs from :func:`allocate_cents` by one cent on some exact ties, where
-    the double quotient is not an exact tie; totals still agree.
-    """
-    unit = F.bround(total / n, 2)
-    return F.when(seq < n, unit).otherwise(F.bround(total - unit * (n - 1), 2))
-
-
 def allocate_integer(total: Column, n: Column, seq: Column) -> Column:
     """Floor unit on rows 1..n-1, remainder on row n."""
     unit = floor_div(total.cast("bigint"), n)

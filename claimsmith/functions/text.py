@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # number (legacy cast semantics: "20.0" -> 20, "20.9" -> 20, "+7" -> 7,
 # ".5" -> 0; "1e2", "abc", blank -> null).
 INT_TEXT_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d*)\s*$"
+# Its sign and the digits before the point.
+INT_PARTS_PATTERN = r"^\s*([+-]?)(\d*)"
 # Month prefix of a date-like text.
 MONTH_PATTERN = r"^(\d{4}-\d{2})"
 # Tokens that a pandas-based CSV reader treats as missing values.
@@ -53,37 +55,37 @@ def safe_month(c: Column | str) -> Column:
 
 
 def int_from_text(c: Column | str) -> Column:
-    """Legacy (non-ANSI) string->int cast, without ever throwing.
+    """Whole part of a plain decimal number as bigint, without ever throwing.
 
     Numeric input is accepted too (its text form is parsed), so a bigint
-    column from a unit-test frame and a string column from CSV agree.
+    column from a unit-test frame and a string column from CSV agree. The
+    digits are parsed as they stand, so large counts are exact.
     """
     s = _col(c).cast("string")
-    return F.when(
-        s.rlike(INT_TEXT_PATTERN),
-        s.try_cast("double").try_cast("int"),
-    )
+    whole = F.concat(F.regexp_extract(s, INT_PARTS_PATTERN, 1), F.lit("0"), F.regexp_extract(s, INT_PARTS_PATTERN, 2))
+    return F.when(s.rlike(INT_TEXT_PATTERN), whole.try_cast("bigint"))
 
 
 def positive_count(c: Column | str) -> Column:
     """Count > 0, else 1 (null, bad text, 0, negatives)."""
     n = int_from_text(c)
-    return F.when(n > 0, n).otherwise(F.lit(1))
+    return F.when(n > 0, n).otherwise(F.lit(1).cast("bigint"))
 
 
 def non_negative_int(c: Column | str) -> Column:
     """Value >= 0, else 0."""
     n = int_from_text(c)
-    return F.when(n >= 0, n).otherwise(F.lit(0))
+    return F.when(n >= 0, n).otherwise(F.lit(0).cast("bigint"))
 
 
 def money_decimal(c: Column | str) -> Column:
-    """Money text (or number) -> decimal(18,2), null on bad text.
+    """Money text (or number) -> decimal(38,2), null on bad text (which
+    ``analytics.unparsable_amount_counts`` counts).
 
     Inputs with more than two decimals are rounded half-up to the cent
     (stated deviation: the reference keeps the raw double).
     """
-    return _col(c).try_cast("decimal(18,2)")
+    return _col(c).try_cast("decimal(38,2)")
 
 
 def money_double(c: Column | str) -> Column:

@@ -60,35 +60,45 @@ def claim_anomaly_features(fact_claims: DataFrame) -> DataFrame:
     """N3 + W3: per-claim ratio, high-ratio flag and duplicate-pattern flag.
 
     The duplicate flag (pandas ``duplicated(keep=False)`` on four keys, nulls
-    equal) is a partial count per key joined back, not a window: a pattern
-    shared by a third of all claims is combined map-side and its join is
-    split by AQE's skew handling.
+    equal) comes from a partial count per key, not a window: a pattern shared
+    by a third of all claims is combined map-side. Only patterns that occur
+    more than once are joined back, usually few enough for a broadcast at run
+    time; beyond that AQE splits a skewed pattern.
     """
-    b, r = F.col("billed_amount"), F.col("reimbursed_amount")
-    ratio = F.when(b == 0, F.lit(0.0)).otherwise(r / b)
-    base = fact_claims.select(
-        "claim_id", *DUPLICATE_KEYS, "billed_amount", "reimbursed_amount",
-        ratio.alias("reimbursement_ratio"),
-    )
-    counts = base.groupBy(*DUPLICATE_KEYS).agg(F.count(F.lit(1)).alias("__pattern_n")).select(
-        *[F.col(k).alias(f"__k_{k}") for k in DUPLICATE_KEYS], "__pattern_n")
+    base = _with_ratio(fact_claims)
+    repeated = base.groupBy(*DUPLICATE_KEYS).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(
+        *[F.col(k).alias(f"__k_{k}") for k in DUPLICATE_KEYS], "__n")
     cond = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in DUPLICATE_KEYS]
-    joined = base.join(counts, cond, "inner")
-    return joined.select(
-        *base.columns,
-        F.coalesce(F.col("reimbursement_ratio") > HIGH_RATIO_THRESHOLD, F.lit(False)).cast("int").alias(
-            "is_high_ratio"),
-        (F.col("__pattern_n") > 1).cast("int").alias("is_potential_duplicate"),
+    return base.join(repeated, cond, "left").select(
+        "claim_id", *DUPLICATE_KEYS, "billed_amount", "reimbursed_amount", "reimbursement_ratio", "is_high_ratio",
+        F.col("__n").isNotNull().cast("int").alias("is_potential_duplicate"),
     )
 
 
-def provider_features(claim_features: DataFrame) -> DataFrame:
-    """Per provider (null providers dropped, as pandas groupby does)."""
-    return claim_features.filter(F.col("provider_sk").isNotNull()).groupBy("provider_sk").agg(
-        F.count("claim_id").cast("bigint").alias("claims_count"),
-        F.round(F.avg("reimbursement_ratio"), AVG_RATIO_DECIMALS).alias("avg_reimbursement_ratio"),
-        F.sum("is_high_ratio").cast("bigint").alias("high_ratio_count"),
-        F.sum("is_potential_duplicate").cast("bigint").alias("duplicate_pattern_count"),
+def _with_ratio(fact_claims: DataFrame) -> DataFrame:
+    """Reimbursed / billed (0 when nothing was billed) and its flag."""
+    b, r = F.col("billed_amount"), F.col("reimbursed_amount")
+    ratio = F.when(b == 0, F.lit(0.0)).otherwise(r / b)
+    return fact_claims.select(
+        "claim_id", *DUPLICATE_KEYS, "billed_amount", "reimbursed_amount", ratio.alias("reimbursement_ratio"),
+        F.coalesce(ratio > HIGH_RATIO_THRESHOLD, F.lit(False)).cast("int").alias("is_high_ratio"))
+
+
+def provider_features(fact_claims: DataFrame) -> DataFrame:
+    """Per provider (null providers dropped, as pandas groupby does).
+
+    A pattern belongs to one provider, so the claims are summed per pattern
+    first and the patterns per provider: two partial aggregations, no join.
+    """
+    ratio = F.col("reimbursement_ratio")
+    patterns = _with_ratio(fact_claims).where("provider_sk is not null").groupBy(*DUPLICATE_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.count("claim_id").alias("ids"), F.sum(ratio).alias("ratios"),
+        F.count(ratio).alias("ratio_n"), F.sum("is_high_ratio").alias("high"))
+    return patterns.groupBy("provider_sk").agg(
+        F.sum("ids").cast("bigint").alias("claims_count"),
+        F.round(F.try_divide(F.sum("ratios"), F.sum("ratio_n")), AVG_RATIO_DECIMALS).alias("avg_reimbursement_ratio"),
+        F.sum("high").cast("bigint").alias("high_ratio_count"),
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).cast("bigint").alias("duplicate_pattern_count"),
     )
 
 
@@ -96,8 +106,7 @@ def provider_anomaly_ranking(fact_claims: DataFrame, top: int = TOP_PROVIDERS) -
     """N4 + O2: top providers by high-ratio then duplicate counts (provider_sk
     breaks ties). orderBy+limit plans as TakeOrderedAndProject: each task keeps
     only its top rows."""
-    feats = provider_features(claim_anomaly_features(fact_claims))
-    return feats.orderBy(
+    return provider_features(fact_claims).orderBy(
         F.col("high_ratio_count").desc(), F.col("duplicate_pattern_count").desc(), F.col("provider_sk").asc()
     ).limit(top)
 
@@ -193,6 +202,22 @@ def invalid_month_counts(raw_claims: DataFrame, raw_prescriptions: DataFrame) ->
     return one(raw_claims, "claims").unionByName(one(raw_prescriptions, "prescriptions"))
 
 
+def unparsable_amount_counts(raw_claims: DataFrame) -> DataFrame:
+    """Per amount column the rows, and those whose text is there but is
+    not an amount (cleaning turns them into null)."""
+    from claimsmith.functions.text import money_decimal
+
+    def one(name: str) -> DataFrame:
+        lost = F.col(name).isNotNull() & money_decimal(name).isNull()
+        return raw_claims.agg(
+            F.lit(name).alias("column_name"),
+            F.count(F.lit(1)).cast("bigint").alias("rows"),
+            F.sum(F.when(lost, 1).otherwise(0)).cast("bigint").alias("unparsable_rows"),
+        )
+
+    return one("total_billed").unionByName(one("total_reimbursed"))
+
+
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for many tables in one job."""
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).cast("bigint").alias("row_count"))

@@ -33,9 +33,9 @@ an int key would overflow past 2^31 rows.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
-import threading
 import uuid
 import warnings
 
@@ -80,17 +80,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-_SCOPE_LOCK = threading.Lock()
-_SCOPES: list[list[str]] = []
+#: The scratch tables of the stage that this code runs for. Threads that work
+#: for a stage run in a copy of its context, so two stages of one session (two
+#: run dates, say) never see each other's tables.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("claimsmith_scratch", default=None)
 
 
 def scratch_table_path(spark: SparkSession, kind: str) -> str:
     """A fresh table location inside the shared checkpoint folder; recorded
     in the innermost :func:`scratch_scope`, if any."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimsmith/{kind}-{uuid.uuid4().hex}"
-    with _SCOPE_LOCK:
-        if _SCOPES:
-            _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -122,13 +124,11 @@ def scratch_scope(spark: SparkSession):
     must not escape the block.
     """
     paths: list[str] = []
-    with _SCOPE_LOCK:
-        _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield paths
     finally:
-        with _SCOPE_LOCK:
-            _SCOPES.remove(paths)
+        _SCOPE.reset(token)
         for p in paths:
             _delete_path(spark, p)
 

@@ -2,22 +2,24 @@
 
 The reference runs twelve driver-blocking ``count()`` jobs. Here:
 
-* Q2-Q5 come from one aggregation over fact_claims: per claim_id first
+* Q2-Q5 and Q8 come from one aggregation over fact_claims: per claim_id first
   (combined map-side, so one id shared by many rows costs nothing extra),
-  then one global row; Q7's fact_claims count is the same number;
-* Q6 is three ``left_anti`` joins (a null foreign key is an orphan, as in
-  the reference's left-join-and-filter form);
+  then one global row; Q7's and Q11's claim counts are the same number;
+* an orphan count is one ``left_anti`` join (a null foreign key is an orphan,
+  as in the reference's left-join-and-filter form); Q6, Q9 and Q10 share it;
 * all metrics meet in one tiny long-format table, pivoted into one row and
-  turned into result rows with ``inline`` -- a single Spark job builds the
-  whole result table.
+  turned into result rows with ``inline``: a single Spark job builds all
+  eleven rows of ``all_check_rows``.
 
-Three-valued logic is the reference's: a null status or a comparison with a
-null amount is not a violation by itself.
+A check whose columns are absent from fact_claims fails and names them; the
+others still run. Three-valued logic is the reference's: a null status or a
+comparison with a null amount is not a violation by itself.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +28,12 @@ from pyspark.sql import functions as F
 # Fixed values (reference configuration and check names).
 ALLOWED_CLAIM_STATUS = ("approved", "pending", "rejected")
 SEVERITY = "error"
-EXPECTED_FACT_CLAIM_COLUMNS = (
-    "claim_sk", "claim_id", "patient_sk", "provider_sk", "treatment_sk",
-    "date_sk", "billed_amount", "reimbursed_amount", "claim_status",
-)
+FACT_CLAIM_TYPES = {
+    "claim_sk": "bigint", "claim_id": "string", "patient_sk": "bigint", "provider_sk": "bigint",
+    "treatment_sk": "bigint", "date_sk": "int", "billed_amount": "double", "reimbursed_amount": "double",
+    "claim_status": "string",
+}
+EXPECTED_FACT_CLAIM_COLUMNS = tuple(FACT_CLAIM_TYPES)
 CHECK_SCHEMA = "python_schema_fact_claims"
 CHECK_UNIQUE = "python_claim_id_uniqueness"
 CHECK_NOT_NULL = "python_fact_claims_mandatory_not_null"
@@ -37,17 +41,19 @@ CHECK_STATUS = "python_claim_status_enum"
 CHECK_AMOUNTS = "python_amount_constraints"
 CHECK_FK = "python_referential_integrity"
 CHECK_ROWS = "python_row_count_reconciliation"
+CHECK_SQL_AMOUNTS = "sql_reimbursed_le_billed"
+CHECK_SQL_PATIENT = "sql_fact_claims_patient_fk"
+CHECK_SQL_PROVIDER = "sql_fact_claims_provider_fk"
+CHECK_SQL_TOTALS = "sql_reimbursement_claim_totals_match"
+MANDATORY = ("claim_id", "patient_sk", "provider_sk", "treatment_sk", "date_sk")
+AMOUNTS = ("billed_amount", "reimbursed_amount")
 
 RESULT_COLUMNS = ("run_id", "run_date", "check_name", "status", "severity", "details", "checked_at")
 
 
 def mandatory_null() -> Column:
     """any of claim_id and the four foreign keys is null."""
-    cols = ("claim_id", "patient_sk", "provider_sk", "treatment_sk", "date_sk")
-    out = F.col(cols[0]).isNull()
-    for c in cols[1:]:
-        out = out | F.col(c).isNull()
-    return out
+    return F.exists(F.array(*[F.col(c).isNull() for c in MANDATORY]), lambda x: x)
 
 
 def bad_status(allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> Column:
@@ -55,155 +61,161 @@ def bad_status(allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> Column:
     return ~F.col("claim_status").isin([s.lower() for s in allowed])
 
 
-def bad_amount() -> Column:
-    """negative amounts or reimbursed above billed."""
-    b, r = F.col("billed_amount"), F.col("reimbursed_amount")
-    return (b < 0) | (r < 0) | (r > b)
+def over_reimbursed() -> Column:
+    """more reimbursed than billed."""
+    return F.col("reimbursed_amount") > F.col("billed_amount")
 
 
-def _flag(cond: Column) -> Column:
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+def bad_amount() -> Column:
+    """negative amounts or reimbursed above billed."""
+    return (F.least(*AMOUNTS) < 0) | over_reimbursed()
 
 
 def claim_metrics(fact_claims: DataFrame, allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> DataFrame:
-    """Q2-Q5 (and Q7's curated claim count) in one pass: one row."""
+    """Q2-Q5, Q8 (and the claim count of Q7 and Q11) in one pass: one row."""
+    flags = {"nulls": mandatory_null(), "status": bad_status(allowed), "amounts": bad_amount(), "over": over_reimbursed()}
     per_id = fact_claims.groupBy("claim_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(_flag(mandatory_null())).alias("nulls"),
-        F.sum(_flag(bad_status(allowed))).alias("status"),
-        F.sum(_flag(bad_amount())).alias("amounts"),
-    )
-    return per_id.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
-        F.count(F.lit(1)).cast("bigint").alias("unique"),
-        F.coalesce(F.sum("nulls"), F.lit(0)).cast("bigint").alias("null_violations"),
-        F.coalesce(F.sum("status"), F.lit(0)).cast("bigint").alias("status_violations"),
-        F.coalesce(F.sum("amounts"), F.lit(0)).cast("bigint").alias("amount_violations"),
-    )
+        F.count(F.lit(1)).alias("total"), *[F.count_if(cond).alias(name) for name, cond in flags.items()])
+    sums = [F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in ("total", *flags)]
+    return per_id.agg(F.count(F.lit(1)).alias("unique"), *sums)
 
 
-def orphan_count(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key has no dimension row (null keys included)."""
-    return fact.select(key).join(dim.select(key), key, "left_anti").agg(F.count(F.lit(1)).cast("bigint").alias("v"))
+def _long(wide: DataFrame) -> DataFrame:
+    """(metric, value) rows of a one-row frame."""
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in wide.columns])))
 
 
-def _metric(df: DataFrame, name: str, col: str = "v") -> DataFrame:
-    return df.select(F.lit(name).alias("metric"), F.col(col).cast("bigint").alias("value"))
+def orphan_count(fact: DataFrame, dim: DataFrame, key: str, name: str = "v") -> DataFrame:
+    """Fact rows whose key has no dimension row (null keys included)."""
+    return fact.select(key).join(dim.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias(name))
 
 
-def _count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("v"))
+def _rows_of(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _wide(metrics: DataFrame, names: list[str]) -> DataFrame:
-    return metrics.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+def _one_row(frames: Iterable[DataFrame]) -> DataFrame:
+    """One-row frames side by side, by a union and an aggregation."""
+    frames = list(frames)
+    names = [c for f in frames for c in f.columns]
+    union = _long(frames[0])
+    for f in frames[1:]:
+        union = union.unionByName(_long(f))
+    return union.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
 
 
-def _row(name: str, passed: Column, details: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.when(passed, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-        F.lit(SEVERITY).alias("severity"),
-        details.alias("details"),
-    )
+@dataclass(frozen=True)
+class Check:
+    """A named rule over the metrics: which are compared, and how details read."""
+
+    name: str
+    passed: Column
+    details: Column
+    needs: tuple[str, ...] = ()
 
 
 def _fmt(template: str, *cols: str) -> Column:
     return F.format_string(template, *[F.col(c) for c in cols])
 
 
-def python_check_rows(curated: dict[str, DataFrame], staging: dict[str, DataFrame],
-                      allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> DataFrame:
-    """Q1-Q7 as rows (check_name, status, severity, details)."""
-    fc = curated["fact_claims"]
-    missing = sorted(set(EXPECTED_FACT_CLAIM_COLUMNS) - set(fc.columns))
-    schema_ok = F.lit(not missing)
-    schema_details = F.lit("missing_columns=" + ",".join(missing) if missing else "ok")
-
-    if missing:
-        # Q1 failed: the other checks would reference absent columns.
-        spark = fc.sparkSession
-        return spark.range(1).select(F.inline(F.array(_row(CHECK_SCHEMA, schema_ok, schema_details))))
-
-    cm = claim_metrics(fc, allowed)
-    pairs = [("total", "total"), ("unique", "unique"), ("nulls", "null_violations"),
-             ("status", "status_violations"), ("amounts", "amount_violations")]
-    claim_rows = cm.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("metric"), F.col(col).cast("bigint").alias("value")) for name, col in pairs])))
-    metrics = (
-        claim_rows
-        .unionByName(_metric(orphan_count(fc, curated["dim_patient"], "patient_sk"), "fk_patient"))
-        .unionByName(_metric(orphan_count(fc, curated["dim_provider"], "provider_sk"), "fk_provider"))
-        .unionByName(_metric(orphan_count(curated["fact_prescriptions"], curated["dim_treatment"], "treatment_sk"),
-                             "fk_treatment"))
-        .unionByName(_metric(_count(staging["stg_claims_events"]), "stg_claims"))
-        .unionByName(_metric(_count(staging["stg_prescriptions_events"]), "stg_prescriptions"))
-        .unionByName(_metric(_count(curated["fact_prescriptions"]), "fact_prescriptions"))
-    )
-    names = ["total", "unique", "nulls", "status", "amounts", "fk_patient", "fk_provider", "fk_treatment",
-             "stg_claims", "stg_prescriptions", "fact_prescriptions"]
-    w = _wide(metrics, names)
+def _inline(wide: DataFrame, checks: list[Check], missing: list[str]) -> DataFrame:
+    rows = []
+    for c in checks:
+        absent = [m for m in missing if m in c.needs]
+        passed = F.lit(False) if absent else c.passed
+        details = F.lit("not evaluated: missing_columns=" + ",".join(absent)) if absent else c.details
+        rows.append(F.struct(
+            F.lit(c.name).alias("check_name"), F.when(passed, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+            F.lit(SEVERITY).alias("severity"), details.alias("details")))
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def _complete(fact_claims: DataFrame) -> tuple[DataFrame, list[str]]:
+    """fact_claims with null columns in place of absent ones, and their names."""
+    missing = sorted(set(EXPECTED_FACT_CLAIM_COLUMNS) - set(fact_claims.columns))
+    return fact_claims.withColumns({c: F.lit(None).cast(FACT_CLAIM_TYPES[c]) for c in missing}), missing
+
+
+def _python_checks(missing: list[str]) -> list[Check]:
     c = F.col
-    rows = F.array(
-        _row(CHECK_SCHEMA, schema_ok, schema_details),
-        _row(CHECK_UNIQUE, c("total") == c("unique"), _fmt("total=%d, unique=%d", "total", "unique")),
-        _row(CHECK_NOT_NULL, c("nulls") == 0, _fmt("violations=%d", "nulls")),
-        _row(CHECK_STATUS, c("status") == 0, _fmt("violations=%d", "status")),
-        _row(CHECK_AMOUNTS, c("amounts") == 0, _fmt("violations=%d", "amounts")),
-        _row(CHECK_FK, (c("fk_patient") == 0) & (c("fk_provider") == 0) & (c("fk_treatment") == 0),
-             _fmt("fact_claims.patient_fk=%d, fact_claims.provider_fk=%d, fact_prescriptions.treatment_fk=%d",
-                  "fk_patient", "fk_provider", "fk_treatment")),
-        _row(CHECK_ROWS,
-             (c("stg_claims") == c("total")) & (c("stg_prescriptions") == c("fact_prescriptions")),
-             _fmt("stg_claims=%d, fact_claims=%d, stg_prescriptions=%d, fact_prescriptions=%d",
-                  "stg_claims", "total", "stg_prescriptions", "fact_prescriptions")),
-    )
-    return w.select(F.inline(rows))
-
-
-# Q8-Q11: SQL text checks, run by Spark SQL over temp views ({name} = view).
-SQL_CHECKS = {
-    "sql_reimbursed_le_billed": (
-        "SELECT COUNT(*) AS fail_count FROM {fact_claims} WHERE reimbursed_amount > billed_amount"
-    ),
-    "sql_fact_claims_patient_fk": (
-        "SELECT COUNT(*) AS fail_count FROM {fact_claims} f "
-        "LEFT ANTI JOIN {dim_patient} d ON f.patient_sk = d.patient_sk"
-    ),
-    "sql_fact_claims_provider_fk": (
-        "SELECT COUNT(*) AS fail_count FROM {fact_claims} f "
-        "LEFT ANTI JOIN {dim_provider} d ON f.provider_sk = d.provider_sk"
-    ),
-    "sql_reimbursement_claim_totals_match": (
-        "SELECT ABS((SELECT COALESCE(SUM(total_claims), 0) FROM {fact_reimbursements}) "
-        "- (SELECT COUNT(*) FROM {fact_claims})) AS fail_count"
-    ),
-}
+    return [
+        Check(CHECK_SCHEMA, F.lit(not missing), F.lit("missing_columns=" + ",".join(missing) if missing else "ok")),
+        Check(CHECK_UNIQUE, c("total") == c("unique"), _fmt("total=%d, unique=%d", "total", "unique"), ("claim_id",)),
+        Check(CHECK_NOT_NULL, c("nulls") == 0, _fmt("violations=%d", "nulls"), MANDATORY),
+        Check(CHECK_STATUS, c("status") == 0, _fmt("violations=%d", "status"), ("claim_status",)),
+        Check(CHECK_AMOUNTS, c("amounts") == 0, _fmt("violations=%d", "amounts"), AMOUNTS),
+        Check(CHECK_FK, F.greatest("fk_patient", "fk_provider", "fk_treatment") == 0,
+              _fmt("fact_claims.patient_fk=%d, fact_claims.provider_fk=%d, fact_prescriptions.treatment_fk=%d",
+                   "fk_patient", "fk_provider", "fk_treatment"), ("patient_sk", "provider_sk")),
+        Check(CHECK_ROWS, (c("stg_claims") == c("total")) & (c("stg_prescriptions") == c("fact_prescriptions")),
+              _fmt("stg_claims=%d, fact_claims=%d, stg_prescriptions=%d, fact_prescriptions=%d",
+                   "stg_claims", "total", "stg_prescriptions", "fact_prescriptions")),
+    ]
+
+
+def _sql_checks() -> list[Check]:
+    def none_of(name: str, metric: str, needs: tuple[str, ...] = ()) -> Check:
+        return Check(name, F.col(metric) == 0, _fmt("fail_count=%d", metric), needs)
+
+    return [none_of(CHECK_SQL_AMOUNTS, "over", AMOUNTS), none_of(CHECK_SQL_PATIENT, "fk_patient", ("patient_sk",)),
+            none_of(CHECK_SQL_PROVIDER, "fk_provider", ("provider_sk",)), none_of(CHECK_SQL_TOTALS, "apart")]
+
+
+def _claim_parts(fc: DataFrame, curated: dict[str, DataFrame], allowed: tuple[str, ...]) -> list[DataFrame]:
+    return [claim_metrics(fc, allowed), orphan_count(fc, curated["dim_patient"], "patient_sk", "fk_patient"),
+            orphan_count(fc, curated["dim_provider"], "provider_sk", "fk_provider")]
+
 
+def _event_parts(curated: dict[str, DataFrame], staging: dict[str, DataFrame]) -> list[DataFrame]:
+    rx = curated["fact_prescriptions"]
+    return [orphan_count(rx, curated["dim_treatment"], "treatment_sk", "fk_treatment"), _rows_of(rx, "fact_prescriptions"),
+            _rows_of(staging["stg_claims_events"], "stg_claims"),
+            _rows_of(staging["stg_prescriptions_events"], "stg_prescriptions")]
 
-def sql_check_rows(spark: SparkSession, tables: dict[str, DataFrame],
-                   checks: dict[str, str] | None = None) -> DataFrame:
-    """Q12: run each named SQL check; fail_count (null -> 0) -> PASS/FAIL row."""
-    checks = SQL_CHECKS if checks is None else checks
-    tag = uuid.uuid4().hex[:10]
-    views = {}
-    for name, df in tables.items():
-        view = f"cs_{tag}_{name}"
-        df.createOrReplaceTempView(view)
-        views[name] = view
-    parts = []
-    for check_name, template in checks.items():
-        q = spark.sql(template.format(**views))
-        fail = F.coalesce(F.col("fail_count").cast("bigint"), F.lit(0).cast("bigint"))
-        parts.append(q.select(
-            F.lit(check_name).alias("check_name"),
-            F.when(fail == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-            F.lit(SEVERITY).alias("severity"),
-            F.concat(F.lit("fail_count="), fail.cast("string")).alias("details"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+
+def _total_part(curated: dict[str, DataFrame]) -> list[DataFrame]:
+    return [curated["fact_reimbursements"].agg(F.coalesce(F.sum("total_claims"), F.lit(0)).alias("reimbursed_claims"))]
+
+
+def _with_apart(wide: DataFrame) -> DataFrame:
+    """How far the claim counts of the totals are from the claims."""
+    return wide.withColumn("apart", F.abs(F.col("reimbursed_claims") - F.col("total")))
+
+
+def python_check_rows(curated: dict[str, DataFrame], staging: dict[str, DataFrame],
+                      allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> DataFrame:
+    """Q1-Q7 as rows (check_name, status, severity, details); always seven."""
+    fc, missing = _complete(curated["fact_claims"])
+    wide = _one_row([*_claim_parts(fc, curated, allowed), *_event_parts(curated, staging)])
+    return _inline(wide, _python_checks(missing), missing)
+
+
+def sql_check_rows(curated: dict[str, DataFrame]) -> DataFrame:
+    """Q8-Q11 as rows; always four."""
+    fc, missing = _complete(curated["fact_claims"])
+    wide = _with_apart(_one_row([*_claim_parts(fc, curated, ALLOWED_CLAIM_STATUS), *_total_part(curated)]))
+    return _inline(wide, _sql_checks(), missing)
+
+
+def all_check_rows(curated: dict[str, DataFrame], staging: dict[str, DataFrame],
+                   allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> DataFrame:
+    """Q1-Q11 from one set of metrics: each table and each orphan join once."""
+    fc, missing = _complete(curated["fact_claims"])
+    wide = _with_apart(_one_row([*_claim_parts(fc, curated, allowed), *_event_parts(curated, staging), *_total_part(curated)]))
+    return _inline(wide, [*_python_checks(missing), *_sql_checks()], missing)
+
+
+def run_sql_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: dict[str, str]) -> DataFrame:
+    """Q12: run named SQL texts that give one ``fail_count`` (null -> 0) each;
+    ``{name}`` stands for a table. Spark binds the frames for the call, so no
+    view is left behind."""
+    out = None
+    for name, text in checks.items():
+        wide = spark.sql(text, **{k: v for k, v in tables.items() if "{" + k + "}" in text}).select(
+            F.coalesce(F.col("fail_count").cast("bigint"), F.lit(0)).alias("fail_count"))
+        rows = _inline(wide, [Check(name, F.col("fail_count") == 0, _fmt("fail_count=%d", "fail_count"))], [])
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -230,9 +242,3 @@ def raise_on_failures(results: DataFrame) -> None:
         "check_name", "details").collect()
     if failed:
         raise QualityCheckFailed("; ".join(f"{r.check_name}: {r.details}" for r in failed))
-
-
-def evaluate_checks(curated: dict[str, DataFrame], staging: dict[str, DataFrame], run_id: str, run_date: str,
-                    allowed: tuple[str, ...] = ALLOWED_CLAIM_STATUS) -> DataFrame:
-    """All python-side checks with run columns (the reference's result record)."""
-    return with_run_columns(python_check_rows(curated, staging, allowed), run_id, run_date)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from claimsmith.functions import calendar as C
 from claimsmith.functions import hashing as H
 from claimsmith.functions import money as M
+from claimsmith.operators.keys import add_surrogate_key, bounded_broadcast
 
 # Fixed values (reference configuration).
 DEFAULT_SEED = 20260308
@@ -49,7 +50,7 @@ def expand_by_count(agg: DataFrame, count_col: str, key_col: str, seq_col: str =
     spread = chunks.repartition(parts, F.col(key_col), F.col("__chunk"))
     lo = F.col("__chunk") * chunk + 1
     hi = F.least(n, (F.col("__chunk") + 1) * chunk)
-    return spread.withColumn(seq_col, F.explode(F.sequence(lo.cast("int"), hi.cast("int")))).drop("__chunk")
+    return spread.withColumn(seq_col, F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint")))).drop("__chunk")
 
 
 def synthesize_claim_events(claims_agg: DataFrame, seed: int = DEFAULT_SEED,
@@ -108,7 +109,7 @@ def synthesize_prescription_events(prescriptions_agg: DataFrame, seed: int = DEF
         F.col("__treatment_id").alias("treatment_id"),
         "treatment_category",
         C.day_in_spread("__month_start", "seq").alias("prescription_date"),
-        M.allocate_integer(F.col("total_quantity"), n, seq).cast("int").alias("quantity"),
+        M.allocate_integer(F.col("total_quantity"), n, seq).cast("bigint").alias("quantity"),
         "source_row_key",
     )
 
@@ -116,14 +117,20 @@ def synthesize_prescription_events(prescriptions_agg: DataFrame, seed: int = DEF
 def patient_regions(claim_events: DataFrame, prescription_events: DataFrame, providers: DataFrame) -> DataFrame:
     """U3 + J1 + A2: one row per patient with the (smallest) known provider
     region. ``min`` is a partial aggregate, so a patient id shared by a third
-    of all events is combined map-side."""
+    of all events is combined map-side. It runs over the rank of the region,
+    a number, so that the events are aggregated by hash and never sorted; the
+    few regions are ranked once and looked up again at the end."""
+    ranked = add_surrogate_key(providers.select("region_id").where("region_id is not null").distinct(), "__rank",
+                               ["region_id"])
+    regions = bounded_broadcast(ranked, ranked.cs_row_count)
+    located = providers.select("provider_id", "region_id").join(regions, "region_id", "left")
     pairs = claim_events.select("patient_id", "provider_id").unionByName(
         prescription_events.select("patient_id", "provider_id")
     )
     # The (patient, provider) distinct of the reference is subsumed by min().
-    with_region = pairs.join(providers.select("provider_id", F.col("region_id").alias("__prov_region")),
-                             "provider_id", "left")
-    return with_region.groupBy("patient_id").agg(F.min("__prov_region").alias("region_id"))
+    with_region = pairs.join(located.select("provider_id", "__rank"), "provider_id", "left")
+    least = with_region.groupBy("patient_id").agg(F.min("__rank").alias("__rank"))
+    return least.join(regions, "__rank", "left").select("patient_id", "region_id")
 
 
 def synthesize_patients(claim_events: DataFrame, prescription_events: DataFrame, providers: DataFrame) -> DataFrame:

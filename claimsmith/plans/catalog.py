@@ -18,6 +18,7 @@ from claimsmith.operators import quality as Q
 from claimsmith.operators import star as B
 from claimsmith.operators import synthesize as D
 from claimsmith.sources import adapters as A
+from claimsmith.sources import io
 from claimsmith.sources.io import materialize
 
 # Staging frames read by more than one builder are written once (the two
@@ -75,9 +76,13 @@ class Star:
     def dim_provider(self) -> DataFrame:
         return B.dim_provider(self.stg["stg_providers"], self.dim_region)
 
+    @cached_property
+    def _plain_lines(self) -> DataFrame:
+        return A.plain_lines(self.t)
+
     @cached_property
     def dim_treatment(self) -> DataFrame:
-        return B.dim_treatment(self.stg["stg_claims_events"], self.stg["stg_prescriptions_events"])
+        return B.dim_treatment(A.claim_events(self.t, self._plain_lines), A.prescription_events(self.t, self._plain_lines))
 
     @cached_property
     def dim_patient(self) -> DataFrame:
@@ -88,9 +93,20 @@ class Star:
         return B.dim_date(self.stg["stg_claims_events"], self.stg["stg_prescriptions_events"],
                           self.stg["stg_visits_events"])
 
+    @cached_property
+    def claim_dates(self) -> DataFrame:
+        """dim_date of the claims alone: all that a report of claims can meet."""
+        return B.dim_date(A.claim_events(self.t, self._plain_lines))
+
     @cached_property
     def reimbursement_lines(self) -> DataFrame:
-        return B.claim_lines(self.stg["stg_claims_events"], self.dim_provider, self.dim_treatment)
+        """Claim lines without patients: no order is read, nothing is written."""
+        return B.claim_lines(A.claim_events(self.t, self._plain_lines), self.dim_provider, self.dim_treatment)
+
+    @cached_property
+    def patient_lines(self) -> DataFrame:
+        """Claim lines with patients, without the claim key (no global sort)."""
+        return B.claim_lines(self._lazy["stg_claims_events"], self.dim_provider, self.dim_treatment, self.dim_patient)
 
     @cached_property
     def fact_claims(self) -> DataFrame:
@@ -155,7 +171,7 @@ def synthesized_prescriptions(t: A.Tables) -> DataFrame:
 
 
 def synthesized_staging(t: A.Tables) -> dict[str, DataFrame]:
-    """C1-C4 + D9-D13 over the aggregate adapters: the reference's staging."""
+    """C1-C4 + D9-D11 over the aggregate adapters: the reference's staging."""
     providers = CL.clean_providers(A.region_providers(t))
     regions = CL.clean_regions(A.regions(t))
     claims = materialize(synthesized_claims(t), "stg_claims_events")
@@ -166,7 +182,6 @@ def synthesized_staging(t: A.Tables) -> dict[str, DataFrame]:
         "stg_claims_events": claims,
         "stg_prescriptions_events": rx,
         "stg_patients": D.synthesize_patients(claims, rx, providers),
-        "stg_visits_events": D.synthesize_visits(claims, providers),
     }
 
 
@@ -175,44 +190,56 @@ def kpi_synthesized(t: A.Tables) -> DataFrame:
     region = B.dim_region(stg["stg_regions"])
     provider = B.dim_provider(stg["stg_providers"], region)
     treatment = B.dim_treatment(stg["stg_claims_events"], stg["stg_prescriptions_events"])
-    dates = B.dim_date(stg["stg_claims_events"], stg["stg_prescriptions_events"], stg["stg_visits_events"])
+    dates = B.dim_date(stg["stg_claims_events"])  # the inner join can meet no other date
     lines = B.claim_lines(stg["stg_claims_events"], provider, treatment)
     return N.claims_kpi(B.reimbursement_totals(lines), dates)
 
 
-def coarse_fact_claims(s: Star) -> DataFrame:
-    """fact_claims of the coarse variant (nation providers, yearly dates);
+def coarse_claim_lines(s: Star) -> DataFrame:
+    """Claim lines of the coarse variant (nation providers, yearly dates);
     patients and treatments are the star's own dimensions."""
     provider = B.dim_provider(A.nation_providers(s.t), s.dim_region)
-    events = A.coarse_claim_events(s.t, s._order_lines)
-    return B.fact_claims(events, s.dim_patient, provider, s.dim_treatment)
+    return B.claim_lines(A.coarse_claim_events(s.t), provider, s.dim_treatment, s.dim_patient)
 
 
 def _kpi_inputs(s: Star) -> Star:
     s.dim_region  # shared by the provider dimension: keyed once, first
-    return s.prefetch("stg_claims_events", "stg_visits_events").prefetch("dim_provider", "dim_treatment")
+    return s.prefetch("dim_provider", "dim_treatment")
+
+
+def _checked(s: Star, broken: bool) -> dict[str, DataFrame]:
+    """The curated tables that checks read, built when they are."""
+    return _LazyMap(lambda n: _BREAKS[n](getattr(s, n)) if broken and n in _BREAKS else getattr(s, n),
+                    ["fact_claims", "fact_prescriptions", "fact_reimbursements", "dim_patient", "dim_provider", "dim_treatment"])
+
+
+_BREAKS = {"fact_claims": A.break_claims, "fact_prescriptions": A.break_prescriptions, "fact_reimbursements": A.break_totals}
+
+
+def _python_checks(s: Star, broken: bool = False) -> DataFrame:
+    return Q.python_check_rows(_checked(s, broken), s.stg)
 
 
-def _python_checks(s: Star) -> DataFrame:
-    return Q.python_check_rows(s.curated(), s.stg)
+def _sql_checks(s: Star, broken: bool = False) -> DataFrame:
+    return Q.sql_check_rows(_checked(s, broken))
 
 
-def _sql_checks(s: Star) -> DataFrame:
-    return Q.sql_check_rows(s.spark, {k: getattr(s, k) for k in (
-        "fact_claims", "dim_patient", "dim_provider", "fact_reimbursements")})
+def _run_metadata(s: Star) -> DataFrame:
+    """S12 without its time of publication."""
+    return io.run_metadata(N.table_row_counts(s.curated()), "2025-02-01").drop("published_at")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # analytics (flagship first)
     "n1_claims_kpi": _star(lambda s: N.claims_kpi(B.reimbursement_totals(_kpi_inputs(s).reimbursement_lines),
-                                                  s.dim_date)),
+                                                  s.claim_dates)),
     "n2_claims_kpi_unrounded": _star(
-        lambda s: N.claims_kpi_unrounded(B.reimbursement_totals(_kpi_inputs(s).reimbursement_lines), s.dim_date)),
-    "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(s.fact_claims)),
-    "n4_provider_anomaly_top20": _star(lambda s: N.provider_anomaly_ranking(s.fact_claims)),
-    "n5_provider_snapshot": _star(lambda s: N.provider_snapshot(s.fact_claims)),
-    "n3_claim_anomaly_features_coarse": _star(lambda s: N.claim_anomaly_features(coarse_fact_claims(s))),
-    "n4_provider_anomaly_top20_coarse": _star(lambda s: N.provider_anomaly_ranking(coarse_fact_claims(s))),
+        lambda s: N.claims_kpi_unrounded(B.reimbursement_totals(_kpi_inputs(s).reimbursement_lines), s.claim_dates)),
+    "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(s.patient_lines)),
+    "n4_provider_anomaly_top20": _star(lambda s: N.provider_anomaly_ranking(s.patient_lines)),
+    "n5_provider_snapshot": _star(lambda s: N.provider_snapshot(s.patient_lines)),
+    "n3_claim_anomaly_features_coarse": _star(lambda s: N.claim_anomaly_features(coarse_claim_lines(s))),
+    "n4_provider_anomaly_top20_coarse": _star(lambda s: N.provider_anomaly_ranking(coarse_claim_lines(s))),
     # star builders
     "b1_dim_region": _star(lambda s: s.dim_region),
     "b2_dim_provider": _star(lambda s: s.dim_provider),
@@ -226,11 +253,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # quality
     "q1_q7_python_checks": _star(_python_checks),
     "q8_q12_sql_checks": _star(_sql_checks),
+    "q1_q7_python_checks_broken": _star(lambda s: _python_checks(s, broken=True)),
+    "q8_q12_sql_checks_broken": _star(lambda s: _sql_checks(s, broken=True)),
+    # source reports
+    "s5_source_health_summary": _tables(lambda t: io.source_health_summary(A.ingestion_records(t))),
+    "s6_source_health_report": _tables(lambda t: io.source_health_report(A.ingestion_records(t))),
+    "s12_run_metadata": _star(_run_metadata),
     # declared reports
-    "x1_category_summary": _star(lambda s: N.category_summary(s.fact_claims, s.dim_treatment)),
+    "x1_category_summary": _star(lambda s: N.category_summary(s.reimbursement_lines, s.dim_treatment)),
     "x2_patient_journey": _star(lambda s: N.patient_journey(s.fact_claims, s.fact_prescriptions, s.fact_visits)),
     "x4_regional_report": _star(
-        lambda s: N.regional_report(s.fact_claims, s.dim_provider, s.dim_region, s.dim_treatment)),
+        lambda s: N.regional_report(s.reimbursement_lines, s.dim_provider, s.dim_region, s.dim_treatment)),
     "s13_table_row_counts": _star(lambda s: N.table_row_counts(s.curated())),
     "x6_stage_row_counts": _star(lambda s: N.stage_row_counts({
         "staging": {n: s.stg[n] for n in ("stg_regions", "stg_providers", "stg_patients", "stg_claims_events",
@@ -242,11 +275,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c3_clean_claims_agg": _tables(lambda t: CL.clean_claims_agg(A.raw_claims(t))),
     "c4_clean_prescriptions_agg": _tables(lambda t: CL.clean_prescriptions_agg(A.raw_prescriptions(t))),
     "x5_invalid_months": _tables(lambda t: N.invalid_month_counts(A.raw_claims(t), A.raw_prescriptions(t))),
+    "x7_unparsable_amounts": _tables(lambda t: N.unparsable_amount_counts(A.raw_claims(t))),
     # synthesis
     "d9_claim_events": _tables(lambda t: synthesized_claims(t)),
     "d9_claim_events_yearly": _tables(lambda t: synthesized_claims(t, yearly=True)),
     "d10_prescription_events": _tables(synthesized_prescriptions),
     "d11_patients": _tables(lambda t: synthesized_staging(t)["stg_patients"]),
-    "d13_visits": _tables(lambda t: synthesized_staging(t)["stg_visits_events"]),
+    "d13_visits": _tables(lambda t: D.synthesize_visits(
+        materialize(synthesized_claims(t), "stg_claims_events"), CL.clean_providers(A.region_providers(t)))),
     "n1_claims_kpi_synthesized": _tables(kpi_synthesized),
 }

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimsmith.operators import clean as CL
 from claimsmith.operators import quality as Q
@@ -70,13 +71,7 @@ class PipelineConfig:
 
 
 def _read(spark: SparkSession, root: str, names: list[str], run_date: str) -> dict[str, DataFrame]:
-    out = {}
-    for n in names:
-        try:
-            out[n] = io.read_run_partition(spark, root, n, run_date)
-        except Exception as exc:  # noqa: BLE001
-            raise FileNotFoundError(f"Expected table missing: {root}/{n} (run_date={run_date})") from exc
-    return out
+    return {n: io.read_run_partition(spark, root, n, run_date) for n in names}
 
 
 MAX_CONCURRENT_JOBS = 4
@@ -88,7 +83,8 @@ def run_concurrently(tasks: dict[str, Callable[[], object]], workers: int = MAX_
     if len(tasks) <= 1:
         return {k: f() for k, f in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        # Each task sees the scratch scope of its caller.
+        futures = {k: pool.submit(copy_context().run, f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futures.items()}
 
 
@@ -167,19 +163,20 @@ def build_facts(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 
 def quality_checks(spark: SparkSession, cfg: PipelineConfig, run_id: str | None = None) -> DataFrame:
-    """Q1-Q12 in two jobs; results appended to the quality table."""
+    """Q1-Q11 in one job. The rows (eleven) are computed once: they are
+    appended to the quality table with a JSON copy (S11), gated and returned,
+    whatever that table holds from other runs."""
     curated = _read(spark, cfg.curated_root, DIMENSIONS + FACTS, cfg.run_date)
     staging = _read(spark, cfg.staging_root, ["stg_claims_events", "stg_prescriptions_events"], cfg.run_date)
-    run_id = run_id or f"{cfg.run_date}_quality"
-    rows = Q.python_check_rows(curated, staging, cfg.allowed_status).unionByName(
-        Q.sql_check_rows(spark, {k: curated[k] for k in
-                                 ("fact_claims", "dim_patient", "dim_provider", "fact_reimbursements")}))
-    results = Q.with_run_columns(rows, run_id, cfg.run_date)
-    io.append_check_results(results, f"{cfg.quality_root}/check_results")
-    stored = spark.read.parquet(f"{cfg.quality_root}/check_results").where(F.col("run_id") == F.lit(run_id))
+    now = datetime.now(timezone.utc)
+    run_id = run_id or f"{cfg.run_date}_quality_{now:%Y%m%dT%H%M%S%f}Z"
+    rows = Q.with_run_columns(Q.all_check_rows(curated, staging, cfg.allowed_status), run_id, cfg.run_date, now)
+    results = spark.createDataFrame(rows.collect(), rows.schema)
+    io.append_check_results(results, f"{cfg.quality_root}/check_results",
+                            f"{cfg.quality_root}/json/run_id={run_id}")
     if cfg.fail_on_error:
-        Q.raise_on_failures(stored)
-    return stored
+        Q.raise_on_failures(results)
+    return results
 
 
 def publish_metadata(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -191,12 +188,15 @@ def publish_metadata(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
 
 
 def load_serving(spark: SparkSession, cfg: PipelineConfig, url: str, schema: str = "curated",
-                 properties: dict[str, str] | None = None) -> None:
+                 properties: dict[str, str] | None = None) -> DataFrame:
     """Replace each curated table of the run date in a JDBC database;
-    executors write their partitions in parallel (batches of 1000 rows)."""
+    executors write their partitions in parallel (batches of 1000 rows, at
+    most ``io.JDBC_CONNECTIONS`` connections per table). Returns the row
+    counts (table_name, row_count)."""
     tables = _read(spark, cfg.curated_root, DIMENSIONS + FACTS, cfg.run_date)
     run_concurrently({name: (lambda name=name, df=df: io.write_jdbc(df, url, f"{schema}.{name}", properties))
                       for name, df in tables.items()})
+    return table_row_counts(tables)
 
 
 def curated_row_counts(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

@@ -144,14 +144,26 @@ def order_lines(t: Tables) -> DataFrame:
     return _lines(t, with_orders=True)
 
 
+def plain_lines(t: Tables) -> DataFrame:
+    """The lines without their order: all that amounts, categories, providers
+    and ship dates need."""
+    return _lines(t, with_orders=False)
+
+
+def _patient(lines: DataFrame) -> Column:
+    """The order's customer; null for lines without their order."""
+    return _pad_id("C", "o_custkey") if "o_custkey" in lines.columns else F.lit(None).cast("string")
+
+
 def claim_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
-    """One claim per lineitem row (duplicate line ids give duplicate claim ids)."""
+    """One claim per lineitem row (duplicate line ids give duplicate claim
+    ids). Given ``plain_lines``, claims have no patient."""
     j = order_lines(t) if lines is None else lines
     category = F.lower(F.col("p_type"))
     claim_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     return j.select(
         claim_id.alias("claim_id"),
-        _pad_id("C", "o_custkey").alias("patient_id"),
+        _patient(j).alias("patient_id"),
         _pad_id("S", "l_suppkey").alias("provider_id"),
         _region_id("n_regionkey").alias("region_id"),
         H.category_id(category).alias("treatment_id"),
@@ -204,13 +216,13 @@ def prescription_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
                         F.col("l_partkey").cast("string"))
     return j.select(
         rx_id.alias("prescription_id"),
-        _pad_id("C", "o_custkey").alias("patient_id"),
+        _patient(j).alias("patient_id"),
         _pad_id("S", "l_suppkey").alias("provider_id"),
         _region_id("n_regionkey").alias("region_id"),
         H.category_id(category).alias("treatment_id"),
         category.alias("treatment_category"),
         F.col("l_shipdate").cast("date").alias("prescription_date"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
         rx_id.alias("source_row_key"),
     )
 
@@ -272,7 +284,7 @@ def _agg_lines(t: Tables, yearly: bool) -> DataFrame:
         _status(F.col("l_returnflag")).alias("claim_status"),
         _price_cents_dec().alias("billed_dec"),
         (_price_cents_dec() * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("reimb_dec"),
-        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_quantity").cast("bigint").alias("qty"),
     )
 
 
@@ -283,7 +295,7 @@ def claims_agg(t: Tables, yearly: bool = False) -> DataFrame:
     lines = _agg_lines(t, yearly)
     keys = ["provider_id", "region_id", "treatment_category", "claim_month"] + ([] if yearly else ["claim_status"])
     agg = lines.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("int").alias("claim_count"),
+        F.count(F.lit(1)).alias("claim_count"),
         F.sum("billed_dec").cast("double").alias("total_billed"),
         F.round(F.sum("reimb_dec"), 2).cast("double").alias("total_reimbursed"),
     )
@@ -295,8 +307,8 @@ def claims_agg(t: Tables, yearly: bool = False) -> DataFrame:
 def prescriptions_agg(t: Tables) -> DataFrame:
     lines = _agg_lines(t, yearly=False)
     agg = lines.groupBy("provider_id", "region_id", "treatment_category", "claim_month").agg(
-        F.count(F.lit(1)).cast("int").alias("prescription_count"),
-        F.sum("qty").cast("int").alias("total_quantity"),
+        F.count(F.lit(1)).alias("prescription_count"),
+        F.sum("qty").alias("total_quantity"),
     )
     return agg.select("provider_id", "region_id", "treatment_category", "claim_month", "prescription_count",
                       "total_quantity")
@@ -336,7 +348,8 @@ def raw_regions(t: Tables) -> DataFrame:
 
 # Fixed dirt vocabulary for text counts, months and statuses (chosen by a
 # key derived from the row, never used to drop rows).
-DIRTY_COUNTS = ("{n}", "{n}.0", "{n}.9", " {n} ", "0", "-3", "abc", None, "1e2", "+{n}")
+DIRTY_COUNTS = ("{n}", "{n}.0", "{n}.9", " {n} ", "0", "-3", "abc", None, "1e2", "+{n}", "3000000000", ".5")
+LARGE_AMOUNT = "20000000000000000.00"
 DIRTY_MONTHS = ("{m}", "{m}-15", "bad", None, "{y}-13", " {m}")
 DIRTY_STATUSES = ("{s}", "  {S} ", None, "", "{S}")
 
@@ -378,7 +391,8 @@ def raw_claims(t: Tables) -> DataFrame:
         F.upper("treatment_category").alias("treatment_category"),
         _pick(DIRTY_MONTHS, sel, fill).alias("claim_month"),
         _pick(DIRTY_COUNTS, sel + 1, fill).alias("claim_count"),
-        F.format_string("%.2f", "total_billed").alias("total_billed"),
+        F.when(F.pmod(sel, F.lit(11)) == 3, F.lit(LARGE_AMOUNT)).otherwise(
+            F.format_string("%.2f", "total_billed")).alias("total_billed"),
         F.when(F.pmod(sel, F.lit(7)) == 0, F.lit("n/a")).otherwise(
             F.format_string("%.2f", "total_reimbursed")).alias("total_reimbursed"),
         _pick(DIRTY_STATUSES, sel + 2, fill).alias("claim_status"),
@@ -402,3 +416,56 @@ def raw_prescriptions(t: Tables) -> DataFrame:
         _pick(DIRTY_COUNTS, sel, fill).alias("prescription_count"),
         _pick(DIRTY_COUNTS, sel + 5, qty_fill).alias("total_quantity"),
     )
+
+
+# --- curated tables with violations, so that every quality check has work ---
+
+# A row breaks a rule when its key has this rest (modulus, rest).
+BROKEN = {"no_patient": (97, 0), "unknown_patient": (89, 1), "unknown_provider": (83, 2), "status": (79, 3),
+          "over": (73, 4), "negative": (71, 5), "unknown_treatment": (67, 6), "total": (61, 7)}
+
+
+def _broken(rule: str, key: str) -> Column:
+    modulus, rest = BROKEN[rule]
+    return F.pmod(F.col(key), F.lit(modulus)) == rest
+
+
+def break_claims(fact_claims: DataFrame) -> DataFrame:
+    """fact_claims with null and unknown keys, statuses and amounts that no
+    rule allows."""
+    broken = lambda rule: _broken(rule, "claim_sk")
+    return fact_claims.withColumns({
+        "patient_sk": F.when(broken("no_patient"), F.lit(None)).when(broken("unknown_patient"), F.lit(-1)).otherwise(
+            F.col("patient_sk")),
+        "provider_sk": F.when(broken("unknown_provider"), F.lit(-1)).otherwise(F.col("provider_sk")),
+        "claim_status": F.when(broken("status"), F.lit("void")).otherwise(F.col("claim_status")),
+        "reimbursed_amount": F.when(broken("over"), F.col("billed_amount") + 1).otherwise(F.col("reimbursed_amount")),
+        "billed_amount": F.when(broken("negative"), -F.col("billed_amount")).otherwise(F.col("billed_amount")),
+    })
+
+
+def break_prescriptions(fact_prescriptions: DataFrame) -> DataFrame:
+    return fact_prescriptions.withColumn(
+        "treatment_sk", F.when(_broken("unknown_treatment", "prescription_sk"), F.lit(-1)).otherwise(F.col("treatment_sk")))
+
+
+def break_totals(fact_reimbursements: DataFrame) -> DataFrame:
+    return fact_reimbursements.withColumn(
+        "total_claims", F.col("total_claims") + F.when(_broken("total", "reimbursement_sk"), 1).otherwise(0))
+
+
+# --- ingestion records, for the source reports ---
+
+def ingestion_records(t: Tables) -> DataFrame:
+    """One ingested source per nation: its suppliers are the records, every
+    fourth nation came from its fallback file."""
+    n, s = t.nation.select("n_nationkey", "n_name"), t.supplier.select("s_nationkey")
+    held = s.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("records"))
+    fallback = F.pmod(F.col("n_nationkey"), F.lit(4)) == 0
+    return n.join(held, F.col("n_nationkey") == F.col("s_nationkey"), "left").select(
+        F.lower("n_name").alias("source_name"),
+        F.concat(F.lit("https://example.org/"), F.lower("n_name"), F.lit(".csv")).alias("source_url"),
+        F.when(fallback, F.lit("fallback_sample")).otherwise(F.lit("downloaded")).alias("status"),
+        fallback.alias("used_fallback"),
+        F.concat(F.lower("n_name"), F.lit("_sample.csv")).alias("fallback_file"),
+        F.coalesce("records", F.lit(0)).alias("records"))

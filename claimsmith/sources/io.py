@@ -55,10 +55,27 @@ def read_csv(spark: SparkSession, path: str, pandas_missing_tokens: bool = False
     return null_missing_tokens(df) if pandas_missing_tokens else df
 
 
-def _probe(spark: SparkSession, path: str) -> DataFrame:
-    df = read_csv(spark, path)
-    df.schema  # resolves the file listing and header: raises when missing/unreadable
-    return df
+class MalformedSourceError(ValueError):
+    pass
+
+
+_SURPLUS = "__cs_surplus"
+
+
+def read_checked_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with the checks of a strict reader, run before the source is
+    chosen: an empty file, unreadable content or a line with more fields than
+    the header raises. (A shorter line is filled with nulls.) The read-through
+    is one distributed pass that stops at the first surplus field."""
+    header = read_csv(spark, path).columns
+    if not header:
+        raise MalformedSourceError(f"no header in {path}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _SURPLUS]])
+    df = (spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", True)
+          .schema(schema).csv(path))
+    if not df.where(F.col(_SURPLUS).isNotNull()).isEmpty():
+        raise MalformedSourceError(f"a line of {path} has more fields than the header")
+    return df.drop(_SURPLUS)
 
 
 @dataclass
@@ -78,16 +95,18 @@ def read_source(spark: SparkSession, source_name: str, primary: str, fallback: s
                 required: list[str], allow_fallback: bool = True) -> tuple[DataFrame, dict]:
     """Primary path, else the fallback file when allowed; then S3.
 
-    A missing column raises even when a fallback exists (as in the
+    A primary that is missing, empty, unreadable or malformed falls back, and
+    ``error`` says why. A missing column raises even when a fallback exists (as in the
     reference: validation comes after the choice of source)."""
     status, used_fallback, error, note = STATUS_PRIMARY, False, "", ""
     try:
-        df = _probe(spark, primary)
-    except (AnalysisException, OSError) as exc:
+        df = read_checked_csv(spark, primary)
+    except Exception as exc:  # noqa: BLE001 - readers raise many kinds, also from the JVM
         if not allow_fallback or not fallback:
             raise RuntimeError(f"Source {source_name} failed and fallback disabled") from exc
-        df = _probe(spark, fallback)
-        status, used_fallback, error = STATUS_FALLBACK, True, str(exc).splitlines()[0]
+        df = read_checked_csv(spark, fallback)
+        status, used_fallback = STATUS_FALLBACK, True
+        error = next((x for x in str(exc).splitlines() if x.strip()), type(exc).__name__)
         note = f"Primary unavailable. Used fallback file {fallback.rsplit('/', 1)[-1]}."
     validate_columns(df, required)
     info = dict(source_name=source_name, source_url=primary, status=status, used_fallback=used_fallback,
@@ -144,19 +163,6 @@ def write_manifest(records: DataFrame, path: str) -> None:
     source_health_summary(records).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
 
 
-def read_parquet_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Named parquet tables under ``root``; a missing one raises
-    FileNotFoundError naming the path."""
-    out = {}
-    for name in names:
-        path = f"{root}/{name}"
-        try:
-            out[name] = spark.read.parquet(path)
-        except AnalysisException as exc:
-            raise FileNotFoundError(f"Expected table path missing: {path}") from exc
-    return out
-
-
 def write_parquet(df: DataFrame, path: str) -> None:
     """Replace the table at ``path``."""
     df.write.mode("overwrite").parquet(path)
@@ -173,17 +179,24 @@ def write_run_partition(df: DataFrame, root: str, table: str, run_date: str) ->
 
 
 def read_run_partition(spark: SparkSession, root: str, table: str, run_date: str) -> DataFrame:
-    """Reads one run date; the filter prunes partitions at planning time."""
-    df = spark.read.parquet(f"{root}/{table}")
+    """S7 + S9: one run date of a table (the filter prunes partitions at
+    planning time); a missing table raises FileNotFoundError naming its path."""
+    try:
+        df = spark.read.parquet(f"{root}/{table}")
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"Expected table missing: {root}/{table} (run_date={run_date})") from exc
     return df.where(F.col("run_date") == F.lit(run_date)).drop("run_date")
 
 
+JDBC_CONNECTIONS = 8
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                mode: str = "overwrite", batchsize: int = 1000) -> None:
     """Serving load; executors write their partitions in parallel
     (the reference goes through pandas on the driver)."""
     w = df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table).option(
-        "batchsize", str(batchsize))
+        "batchsize", str(batchsize)).option("numPartitions", str(JDBC_CONNECTIONS))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
@@ -213,10 +226,9 @@ def run_metadata(row_counts: DataFrame, run_date: str, published_at: datetime |
 
 
 def sql_over(spark: SparkSession, tables: dict[str, DataFrame], query: str) -> DataFrame:
-    """Register frames as temp views and run Spark SQL over them."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """Spark SQL over frames, ``{name}`` in the text; Spark binds them
+    for the call, so no view stays registered."""
+    return spark.sql(query, **tables)
 
 
 def materialize(df: DataFrame, kind: str) -> DataFrame:

@@ -28,7 +28,7 @@ def test_checks_on_empty_tables(spark):
     rows = {r.check_name: (r.status, r.details) for r in Q.python_check_rows(curated, staging).collect()}
     assert rows["python_claim_id_uniqueness"] == ("PASS", "total=0, unique=0")
     assert all(s == "PASS" for s, _ in rows.values())
-    sql = {r.check_name: r.details for r in Q.sql_check_rows(spark, curated).collect()}
+    sql = {r.check_name: r.details for r in Q.sql_check_rows(curated).collect()}
     assert set(sql.values()) == {"fail_count=0"}
 
 

@@ -1,8 +1,11 @@
-"""Sources (S1-S4) and the reference's own synthesis unit cases."""
+"""Sources (S1-S4), synthesis and scratch scopes."""
+
+import random
 
 import pytest
 from pyspark.sql import Row
 
+from claimsmith.functions import text as T
 from claimsmith.operators import clean as CL
 from claimsmith.operators import synthesize as D
 from claimsmith.sources import io
@@ -42,17 +45,91 @@ def _claims(spark, count, billed, reimbursed):
                                       total_reimbursed=reimbursed, claim_status="approved")])
 
 
-def test_synthesized_claim_ids_are_deterministic(spark):
-    agg = _claims(spark, 3, 150.0, 120.0)
-    first = [r.claim_id for r in D.synthesize_claim_events(agg, seed=111).orderBy("claim_id").collect()]
-    second = [r.claim_id for r in D.synthesize_claim_events(agg, seed=111).orderBy("claim_id").collect()]
-    assert first == second and len(set(first)) == 3
+def _aggregates(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(25):
+        billed = round(rng.uniform(0.5, 5000), 2)
+        rows.append((f"PR{i % 4}", f"R{i % 3}", f"cat{i}", f"20{20 + i % 5}-{i % 12 + 1:02d}", rng.randrange(1, 70), billed,
+                     round(billed * rng.uniform(0.2, 1.6), 2), rng.choice(["approved", "pending", None])))
+    return rows, spark.createDataFrame(
+        rows, "provider_id string, region_id string, treatment_category string, claim_month string, claim_count long, "
+              "total_billed double, total_reimbursed double, claim_status string")
+
+
+def test_claim_ids_repeat_with_the_seed_only(spark):
+    rows, agg = _aggregates(spark, 9)
+    ids = lambda seed, parts: {r.claim_id for r in D.synthesize_claim_events(agg, seed, parts).collect()}
+    one = ids(77, 3)
+    assert len(one) == sum(r[4] for r in rows) and one == ids(77, 7)
+    assert not one & ids(78, 3)
+
+
+def test_event_amounts_keep_totals_and_caps(spark):
+    rows, agg = _aggregates(spark, 10)
+    events = D.synthesize_claim_events(agg, 1).collect()
+    by_category = {}
+    for e in events:
+        by_category.setdefault(e.treatment_category, []).append(e)
+    for r in rows:
+        own = by_category[r[2]]
+        assert len(own) == r[4]
+        assert sum(round(e.billed_amount * 100) for e in own) == round(r[5] * 100)
+        assert all(e.reimbursed_amount <= e.billed_amount for e in own)
+        if r[6] < r[5] * 0.5:
+            assert sum(round(e.reimbursed_amount * 100) for e in own) == round(r[6] * 100)
+
+
+def test_large_counts_and_amounts_survive(spark, ansi):
+    raw = spark.createDataFrame(
+        [("3000000000", "20000000000000000.00"), (" +4294967296.9 ", "-1.005"), (".5", "12345678901234567890.12"), ("-.5", "x")],
+        "claim_count string, total_billed string")
+    got = raw.select(T.positive_count("claim_count").alias("n"), T.non_negative_int("claim_count").alias("z"),
+                     T.money_decimal("total_billed").alias("m")).collect()
+    assert [(r.n, r.z) for r in got] == [(3000000000, 3000000000), (4294967296, 4294967296), (1, 0), (1, 0)]
+    assert [str(r.m) for r in got] == ["20000000000000000.00", "-1.01", "12345678901234567890.12", "None"]
+
+
+@pytest.mark.parametrize("kind", ["empty", "surplus", "gzip", "missing"])
+def test_bad_primary_falls_back_and_says_why(spark, tmp_path, kind):
+    fb = tmp_path / "fb.csv"
+    fb.write_text("a,b\n1,2\n")
+    primary = tmp_path / ("p.csv.gz" if kind == "gzip" else "p.csv")
+    if kind != "missing":
+        primary.write_bytes({"empty": b"", "surplus": b"a,b\n1,2\n3,4,5,6\n", "gzip": b"a,b\n1,2\n"}[kind])
+    df, info = io.read_source(spark, "s", str(primary), str(fb), ["a", "b"])
+    assert info["used_fallback"] and info["status"] == "fallback_sample" and info["error"]
+    assert [tuple(r) for r in df.collect()] == [("1", "2")]
+
+
+def test_short_lines_and_quoted_commas_are_kept(spark, tmp_path):
+    p = tmp_path / "p.csv"
+    p.write_text('a,b\n1\n"x,y",2\n')
+    df, info = io.read_source(spark, "s", str(p), None, ["b", "a"])
+    assert not info["used_fallback"] and [tuple(r) for r in df.collect()] == [(None, "1"), ("2", "x,y")]
+
+
+def test_scratch_scopes_of_overlapping_stages(spark):
+    from claimsmith.operators import keys as K
+    from claimsmith.plans.pipeline import run_concurrently
+    from threading import Barrier
 
+    meet = Barrier(2)
 
-def test_reimbursement_never_exceeds_billed(spark):
-    ev = D.synthesize_claim_events(_claims(spark, 2, 100.0, 130.0), seed=111)
-    assert ev.filter(ev.reimbursed_amount > ev.billed_amount).count() == 0
-    assert sorted(r.billed_amount for r in ev.collect()) == [50.0, 50.0]
+    def stage(name):
+        def run():
+            with K.scratch_scope(spark) as own:
+                run_concurrently({i: (lambda i=i: K.scratch_table_path(spark, f"{name}{i}")) for i in range(3)})
+                meet.wait(30)
+                inner = K.scratch_table_path(spark, f"{name}-inner")
+                meet.wait(30)
+                assert inner in own
+                return list(own)
+        return run
+
+    found = run_concurrently({"x": stage("x"), "y": stage("y")})
+    for name, paths in found.items():
+        assert len(paths) == 4 and all(f"/{name}" in p for p in paths)
 
 
 def test_expansion_is_chunked_but_exact(spark):
@@ -105,31 +182,17 @@ def test_run_metadata_and_sql_over(spark):
     assert [(m.table_name, m.row_count, m.run_date) for m in meta] == [("t_a", 3, "2025-02-01"),
                                                                         ("t_b", 5, "2025-02-01")]
     out = io.sql_over(spark, {"cs_t_a": a, "cs_t_b": b},
-                      "SELECT count(*) AS n FROM cs_t_a JOIN cs_t_b USING (x)").first()
+                      "SELECT count(*) AS n FROM {cs_t_a} JOIN {cs_t_b} USING (x)").first()
     assert out.n == 3
 
 
-def test_double_allocation_parity_variant_keeps_totals(spark):
-    from pyspark.sql import functions as F
-
-    from claimsmith.functions import money as M
-
-    df = spark.range(1, 8).select(F.col("id").cast("int").alias("seq"))
-    for total, n in [(4.69, 2), (100.0, 7), (0.05, 7)]:
-        sub = df.where(F.col("seq") <= n)
-        parts = [r.v for r in sub.select(M.allocate_decimal_double(F.lit(total), F.lit(n), F.col("seq")).alias("v"))
-                 .collect()]
-        assert round(sum(parts), 2) == total
-
-
 def test_missing_parquet_table_and_bad_layer(spark, tmp_path):
     from claimsmith.plans import pipeline as P
 
-    spark.range(2).write.parquet(str(tmp_path / "present"))
-    tables = io.read_parquet_tables(spark, str(tmp_path), ["present"])
-    assert tables["present"].count() == 2
+    io.write_run_partition(spark.range(2).toDF("x"), str(tmp_path), "present", "2025-02-01")
+    assert io.read_run_partition(spark, str(tmp_path), "present", "2025-02-01").count() == 2
     with pytest.raises(FileNotFoundError, match="absent"):
-        io.read_parquet_tables(spark, str(tmp_path), ["present", "absent"])
+        io.read_run_partition(spark, str(tmp_path), "absent", "2025-02-01")
     with pytest.raises(ValueError):
         P.run_transformations(spark, P.PipelineConfig(root=str(tmp_path), run_date="2025-02-01"), "everything")
 
