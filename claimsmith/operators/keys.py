@@ -18,7 +18,7 @@ PARTITION BY, which Spark runs in a single task -- by a distributed
 4. read back only the tag column to get each partition's row count -- one
    row per partition, so the driver receives at most
    ``spark.sql.shuffle.partitions`` numbers -- and add the prefix offsets
-   with a projection (``element_at`` of a literal array), no join.
+   by a join with one row per partition, broadcast behind the size check.
 
 The exact row count falls out of step 4 for free; ``bounded_broadcast``
 uses it to broadcast small dimensions behind a real size check.
@@ -176,11 +176,12 @@ def add_surrogate_key(
     # At most one row per partition reaches the driver.
     sizes = {r[0]: r[1] for r in tagged.groupBy(pid.alias("p")).agg((F.max(pos) + 1).alias("n")).collect()}
     offsets, running = [], 0
-    for p in range(max(sizes) + 1 if sizes else 1):
-        offsets.append(running)
-        running += sizes.get(p, 0)
-    offset = F.element_at(F.lit(offsets).cast("array<bigint>"), (pid + 1).cast("int"))
-    out = tagged.select((offset + pos + 1).cast("bigint").alias(sk_name), *df.columns)
+    for p in sorted(sizes):
+        offsets.append((p, running))
+        running += sizes[p]
+    known = bounded_broadcast(spark.createDataFrame(offsets, "__cs_p bigint, __cs_before bigint"), len(offsets))
+    out = tagged.join(known, pid == F.col("__cs_p")).select(
+        (F.col("__cs_before") + pos + 1).cast("bigint").alias(sk_name), *[tagged[c] for c in df.columns])
     out.cs_row_count = running  # exact row count, known without another job
     return out
 
