@@ -11,7 +11,7 @@ handling of adaptive execution.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimsmith.llm.common import Scratch
@@ -19,8 +19,13 @@ from claimsmith.llm.common import Scratch
 MAX_ROUNDS = 60
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
+def _write(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """Write edges; their number and the sum of their hashes, observed during
+    the write, tell whether a round changed them."""
+    seen = Observation()
+    table, path = scratch.write(edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).alias("h")))
+    return table, path, (seen.get["n"], seen.get["h"])
 
 
 def _star_round(edges: DataFrame) -> DataFrame:
@@ -43,14 +48,12 @@ def connected_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFr
     smallest node. Pairs holding null, self pairs and repeated pairs add
     nothing; no pairs give no rows."""
     scratch = Scratch(pairs.sparkSession, "components")
-    edges, path = scratch.write(
-        pairs.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct())
-    seen = _signature(edges)
+    edges, path, seen = _write(scratch, pairs.where(F.col(a) != F.col(b)).select(
+        F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct())
     for _ in range(MAX_ROUNDS if seen[0] else 0):
-        edges, new = scratch.write(_star_round(edges))
+        edges, new, now = _write(scratch, _star_round(edges))
         scratch.drop(path)
-        path, now = new, _signature(edges)
+        path = new
         if now == seen:
             break
         seen = now
