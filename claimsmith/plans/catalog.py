@@ -26,6 +26,9 @@ from claimsmith.sources.io import materialize
 SHARED_STAGING = ("stg_claims_events", "stg_prescriptions_events", "stg_visits_events")
 
 
+LINE_COLUMNS = ("claim_id", "provider_sk", "treatment_sk", "date_sk", "billed_amount", "reimbursed_amount", "claim_status")
+
+
 class Star:
     """Star schema over the adapter staging tables; every piece is built on
     first use only, so a query pays for the dimensions it needs."""
@@ -101,12 +104,14 @@ class Star:
     @cached_property
     def reimbursement_lines(self) -> DataFrame:
         """Claim lines without patients: no order is read, nothing is written."""
-        return B.claim_lines(A.claim_events(self.t, self._plain_lines), self.dim_provider, self.dim_treatment)
+        return B.claim_lines(A.claim_events(self.t, self._plain_lines), self.dim_provider, self.dim_treatment).select(
+            *LINE_COLUMNS)
 
     @cached_property
     def patient_lines(self) -> DataFrame:
         """Claim lines with patients, without the claim key (no global sort)."""
-        return B.claim_lines(self._lazy["stg_claims_events"], self.dim_provider, self.dim_treatment, self.dim_patient)
+        return B.claim_lines(self._lazy["stg_claims_events"], self.dim_provider, self.dim_treatment, self.dim_patient).select(
+            "patient_sk", *LINE_COLUMNS)
 
     @cached_property
     def fact_claims(self) -> DataFrame:

@@ -10,7 +10,8 @@ from tools.check_oracle import TABLES, _rows
 
 QUICK = ["n1_claims_kpi", "b9_fact_reimbursements", "d9_claim_events_yearly", "c3_clean_claims_agg",
          "q1_q7_python_checks_broken", "q8_q12_sql_checks_broken", "n4_provider_anomaly_top20_coarse", "d11_patients",
-         "d13_visits", "s5_source_health_summary", "x7_unparsable_amounts", "n1_claims_kpi_synthesized"]
+         "d13_visits", "s5_source_health_summary", "x7_unparsable_amounts", "x1_category_summary",
+         "x4_regional_report", "n1_claims_kpi_synthesized"]
 
 
 @pytest.fixture(scope="module")
