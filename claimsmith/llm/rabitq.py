@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from claimsmith.llm.common import Scratch
 from claimsmith.operators.keys import dedup_keep_smallest
 
-#: Bounds of estimates, in standard errors: all but a few of a hundred hold.
-EPSILON = 1.9
+#: Bounds of estimates, in standard errors: all but a few of ten thousand hold.
+EPSILON = 3.5
 CENTROIDS = 32
 SAMPLE_ROWS = 8192
 BLOCK_BYTES = 16 << 20

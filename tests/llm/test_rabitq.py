@@ -48,7 +48,7 @@ def test_recall_over_blocks_without_structure(spark, dim):
     rows = [(i, (rng.standard_normal(dim) * rng.uniform(0.1, 3)).tolist()) for i in range(1500)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = collected(rabitq.nearest(df, "vec_id % 20 = 0", block_bytes=40_000, query_bytes=4_000))
-    assert recall(got, brute(rows)) >= 0.95
+    assert recall(got, brute(rows)) >= 0.98
 
 
 def test_error_bound_holds():
@@ -63,6 +63,14 @@ def test_error_bound_holds():
     assert abs((guess - true).mean()) < 0.02  # unbiased
 
 
+def test_default_bound_holds_for_nearly_all():
+    rng = np.random.default_rng(0)
+    vectors, queries_ = rng.standard_normal((2000, 64)).astype(np.float32), rng.standard_normal((50, 64)).astype(np.float32)
+    centres, turn = rabitq.fit_centroids(vectors, 8), rabitq.rotation(64)
+    guess, error = rabitq.Block(*rabitq.encode(vectors, centres, turn), centres, turn).estimate(queries_)
+    assert (np.abs(guess - queries_ @ vectors.T) <= error).mean() > 0.999
+
+
 def test_copies_ties_and_unusable_rows(spark):
     rng = np.random.default_rng(1)
     one = rng.standard_normal(8).tolist()
