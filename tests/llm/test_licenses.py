@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -75,3 +76,36 @@ def test_every_template_names_itself():
 def test_empty(spark):
     df = spark.createDataFrame([], "path string, text string")
     assert L.scan_licences(df, F.col("path")).count() == 0
+
+
+def commented(text, width=68):
+    return "\n".join(" * " + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_headers_long_lines_and_versions():
+    matcher = L.Matcher(L.TEMPLATES, {}, 1000, L.THRESHOLD)
+    code = "int main(void) { return compute(alpha, beta); }\n" * 20
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        header = "/*\n * Frobnicate, a tool.\n * Copyright 2020 Some Body\n" + commented(L.TEMPLATES[name][-3]) + "\n */\n"
+        for width in (40, 68, 100):
+            assert matcher.text("/*\n" + commented(L.TEMPLATES[name][-3], width) + "\n*/\n" + code)[0] == name
+        assert matcher.text(header + code)[0] == name
+    for name in ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense"):
+        longest = max(L.TEMPLATES[name], key=len)
+        assert matcher.text(code + commented(longest) + "\n" + code)[0] == name
+    long_line = "we wrote all of it during winter " * 6 + "Licensed under the Apache License, Version 2.0 " + "and then went home again " * 6
+    assert matcher.text(long_line)[0] == "Apache-2.0"
+    assert matcher.text("# SPDX-License-Identifier: LGPL-2.1\n" + code)[0] == "LGPL-2.1"
+
+
+def test_whole_licence_speaks_whatever_its_name_and_length(spark):
+    mit = "Copyright (c) 2021 Some Body\n\n" + "\n".join(textwrap.wrap(L.TEMPLATES["MIT"][3], 70))
+    gpl = " ".join(t for t, n in L.full_texts()["GPL-3.0"].items() for _ in range(n))
+    agpl = "GNU Affero General Public License Version 3 " + gpl
+    rows = [("m/terms.txt", mit), ("m/x.py", "pass"), ("g/terms.txt", gpl), ("g/x.py", "pass"), ("a/terms.txt", agpl),
+            ("a/x.py", "pass"), ("h/own.py", "# Licensed under the MIT License\npass"), ("h/x.py", "pass")]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.licence, r.origin) for r in L.scan_licences(df, F.col("path"), F.col("__words") < 0).collect()}
+    for d, name in (("m", "MIT"), ("g", "GPL-3.0"), ("a", "AGPL-3.0")):
+        assert got[f"{d}/terms.txt"] == (name, "own") and got[f"{d}/x.py"] == (name, "inherited")
+    assert got["h/x.py"] == (None, "none")
