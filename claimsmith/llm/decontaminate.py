@@ -8,9 +8,9 @@ shuffled: the index is built where the text is read. Words that no benchmark
 item has share one id, which no window contains.
 
 The benchmark is the query set. Its items are handed to the tasks in blocks
-of at most ``BLOCK_BYTES`` of text, one pass over the documents for each
-block, so what is broadcast stays bounded however large the benchmark is;
-spans and items of the passes are then merged per document.
+of at most ``BLOCK_BYTES`` of text, one scan for each block in a single plan:
+each broadcast is bounded, but together they grow with the benchmark. Spans
+and items of the scans are then merged per document.
 """
 
 from __future__ import annotations
@@ -44,14 +44,16 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Windows:
     """The distinct windows of a block of benchmark items, by length."""
 
-    def __init__(self, items: list[tuple[str, bytes | None]], width: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes | None]], width: int = WINDOW):
         self.ids: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             symbols = [self.ids.setdefault(w, len(self.ids) + _OTHER + 1) for w in words_of(text)]
             size = min(width, len(symbols))
             for i in range(len(symbols) - size + 1 if size else 0):
-                owners.setdefault(tuple(symbols[i:i + size]), set()).add(item)
+                own = owners.setdefault(tuple(symbols[i:i + size]), set())
+                if item is not None:  # an item without a name has windows all the same
+                    own.add(item)
         self.sigma = len(self.ids) + _OTHER + 1
         self.longest = max(map(len, owners), default=1)
         self.by_length = []
@@ -168,14 +170,15 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     spans ``starts`` / ``ends`` (word positions, end exclusive), and ``items``
     (sorted ids, as strings, of the items with an occurring window).
 
-    Null and empty texts have no words and no spans. Benchmark rows without
-    an id or without words have no windows; repeated rows count once. All
+    Null and empty texts have no words and no spans. Benchmark rows
+    without words have no windows; those without an id hit, but add nothing to
+    ``items``; repeated rows count once. All
     other columns of the documents pass through unread; an existing column
     named like ``out`` is replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), utf8("text").alias("text")).where(
-        "item is not null and text is not null")
+        "text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     parts = []

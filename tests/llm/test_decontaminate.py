@@ -96,3 +96,11 @@ def test_edge_rows_and_blocks(spark):
         assert [(r.contamination.n_words, r.contamination.n_hit, r.contamination["items"]) for r in got] == want
     assert D.mark_contamination(docs, bench.limit(0)).where("contamination.n_hit > 0").count() == 0
     assert D.mark_contamination(docs.limit(0), bench).count() == 0
+
+
+@pytest.mark.parametrize("block", [8, 1 << 20])
+def test_items_without_an_id_hit(spark, block):
+    docs = spark.createDataFrame([(1, "say one two three now"), (2, "nothing"), (3, "four five six")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), (7, "four five six"), (None, None)], "item_id long, text string")
+    got = {r.doc_id: r.contamination for r in D.mark_contamination(docs, bench, block_bytes=block).collect()}
+    assert [(got[i].n_hit, got[i]["items"]) for i in (1, 2, 3)] == [(3, []), (0, []), (3, ["7"])]
