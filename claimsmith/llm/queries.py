@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm import class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, simhash, token_files, toxicity
+from claimsmith.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, simhash, token_counts,
+                            token_files, toxicity)
 from claimsmith.llm.common import LOWER, UPPER, read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -101,6 +102,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licences(docs, path, F.col("__words") < 50, keep=("doc_id",))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer_path()).select("doc_id", "token_count.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rabitq_neighbours": op1_rabitq_neighbours,
     "op2_source_mixing": op2_source_mixing,
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_class_lm": op8_class_lm,
     "op9_token_id_files": op9_token_id_files,
     "op10_license_scan": op10_license_scan,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
