@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, simhash, token_counts,
-                            token_files, toxicity)
+from claimsmith.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, resample, simhash,
+                            token_counts, token_files, toxicity)
 from claimsmith.llm.common import LOWER, UPPER, read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -107,6 +107,12 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_path()).select("doc_id", "token_count.*")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rabitq_neighbours": op1_rabitq_neighbours,
     "op2_source_mixing": op2_source_mixing,
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_id_files": op9_token_id_files,
     "op10_license_scan": op10_license_scan,
     "op11_token_counts": op11_token_counts,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
