@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsmith.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, paragraphs, rabitq, resample, simhash,
+from claimsmith.llm import (class_lm, decontaminate, divergence, licenses, line_dedup, mixing, paragraphs, rabitq, resample, simhash,
                             token_counts, token_files, toxicity)
 from claimsmith.llm.common import LOWER, UPPER, read_table
 
@@ -107,6 +107,49 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_path()).select("doc_id", "token_count.*")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP12_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text,
+         coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents),
+tokens AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY lang, source, term),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+groups AS (
+  SELECT s.lang, s.source, coalesce(l.v, 0) AS v, coalesce(t.n, 0) + 2 * coalesce(l.v, 0) AS mass, l.n + 2 * l.v AS lang_mass
+  FROM sources s LEFT JOIN totals t ON s.lang = t.lang AND s.source = t.source LEFT JOIN langs l ON s.lang = l.lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // g.mass AS p,
+         1 + (1000000000::HUGEINT * (k.total + 2)) // g.lang_mass AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+  UNION ALL
+  SELECT a.lang, a.source, b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source WHERE a.v = 0),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return resample.resample(docs, read_table(spark, sf_dir, "benchmark")).select(
@@ -125,7 +168,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_id_files": op9_token_id_files,
     "op10_license_scan": op10_license_scan,
     "op11_token_counts": op11_token_counts,
+    "op12_source_divergence": op12_source_divergence,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
-ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op12_source_divergence": OP12_SQL}
