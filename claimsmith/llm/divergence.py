@@ -26,7 +26,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby, islice, repeat
+from itertools import groupby
 from operator import itemgetter
 from zlib import crc32
 
@@ -44,7 +44,7 @@ SCALE = 1_000_000_000
 #: Postings (lang, source, term) and (lang, term) that a task's block holds in memory.
 BLOCK_POSTINGS = 400_000
 #: Bytes of text for one shard of a language, the most shards, and the runs merged at once.
-SHARD_BYTES, MOST_SHARDS = 64 << 20, 1 << 14
+SHARD_BYTES, MOST_SHARDS = 32 << 20, 1 << 14
 FAN_IN = 512
 _SLICE_TERMS = 4096
 _WORD_BLOCK = 1 << 20
@@ -88,29 +88,32 @@ class Block:
     def run(self, number: int, shards: int) -> Iterator[pa.RecordBatch]:
         """The block's postings in the order of their terms, by lang and shard."""
         for lang, documents in self.documents.items():
-            postings = defaultdict(list)
+            terms = sorted(documents)
+            shard = np.fromiter(map(crc32, terms), np.int64, len(terms)) % shards
+            by_shard = np.argsort(shard, kind="stable")
+            terms = [terms[i] for i in by_shard.tolist()]
+            place = dict(zip(terms, range(len(terms))))
             names = sorted(s for of, s in self.counts if of == lang)
-            for i, source in enumerate(names):
-                for term, n in self.counts[lang, source].items():
-                    postings[term].append((i, n))
-            by_shard = defaultdict(list)
-            for term in sorted(postings):
-                by_shard[crc32(term) % shards].append(term)
-            for shard, terms in by_shard.items():
-                yield from slices(lang, shard, number, names, ((t, documents[t], postings[t]) for t in terms))
-
-
-def slices(lang: str, shard: int, run: int, names: list[str],
-           postings: Iterator[tuple[bytes, int, list[tuple[int, int]]]]) -> Iterator[pa.RecordBatch]:
-    """Rows of RUN_SCHEMA from (term, documents, [(source, count)]) in term order."""
-    postings, seq = iter(postings), 0
-    while part := list(islice(postings, _SLICE_TERMS)):
-        yield _row(lang, shard, run, seq, [p[0] for p in part], [p[1] for p in part], np.cumsum([len(p[2]) for p in part]),
-                   names, [s for p in part for s, _ in p[2]], [n for p in part for _, n in p[2]])
-        seq += 1
+            own = [self.counts[lang, s] for s in names]
+            of_term = np.fromiter((place[t] for c in own for t in c), np.int64)
+            counts = np.fromiter((n for c in own for n in c.values()), np.int64, len(of_term))
+            sources = np.repeat(np.arange(len(own), dtype=np.int32), [len(c) for c in own])
+            order = np.argsort(of_term, kind="stable")
+            ends = np.cumsum(np.bincount(of_term, minlength=len(terms)))
+            found = np.fromiter(map(documents.__getitem__, terms), np.int64, len(terms))
+            cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1)).tolist()
+            for k in range(shards):
+                for seq, at in enumerate(range(cuts[k], cuts[k + 1], _SLICE_TERMS)):
+                    stop = min(at + _SLICE_TERMS, cuts[k + 1])
+                    first = int(ends[at - 1]) if at else 0
+                    held = order[first:ends[stop - 1]]
+                    yield _row(lang, k, number, seq, terms[at:stop], found[at:stop], ends[at:stop] - first,
+                               names, sources[held], counts[held])
 
 
 def _row(lang, shard, run, seq, terms, documents, ends, names, sources, counts) -> pa.RecordBatch:
+    """One slice: terms in order, the documents that hold each, the end of
+    each one's postings, and the postings as (place in names, count)."""
     def listed(values, kind):
         return pa.array([values], pa.list_(kind))
 
@@ -141,37 +144,58 @@ class RunSlices:
     """The slices of several runs of one (lang, shard), merged term by term."""
 
     def __init__(self, rows: pa.Table):
-        self.rows = rows.combine_chunks()
-        self.names = sorted(set().union(*rows["names"].to_pylist()))
+        self.rows = rows = rows.combine_chunks()
+        names = rows["names"].to_pylist()
+        self.names = sorted(set().union(*names))
         index = {s: i for i, s in enumerate(self.names)}
-        self.of = [np.array([index[s] for s in names], np.int64) for names in rows["names"].to_pylist()]
-
-    def _stream(self, order: list[int]) -> Iterator[tuple[bytes, int, int, int]]:
-        """(term, slice, place, documents) of a run, its slices one after the other."""
+        sizes, postings = ([len(x) for x in rows[c]] for c in ("terms", "sources"))
+        self.base = np.cumsum([0, *sizes]).tolist()
+        starts = np.cumsum([0, *postings])
+        self.ends = np.concatenate([e.values.to_numpy() + s for e, s in zip(rows["ends"], starts)])
+        self.begins = np.concatenate([[0], self.ends[:-1]])
+        self.sources = np.concatenate([np.array([index[s] for s in own], np.int64)[of.values.to_numpy()]
+                                       for own, of in zip(names, rows["sources"])])
+        self.counts = np.concatenate([c.values.to_numpy() for c in rows["counts"]])
+
+    def _stream(self, order: list[int]) -> Iterator[tuple[bytes, int, int]]:
+        """(term, its place among all slices, documents) of a run, its slices one after the other."""
         for i in order:
             terms, documents = self.rows["terms"][i].as_py(), self.rows["documents"][i].as_py()
-            yield from zip(terms, repeat(i), range(len(terms)), documents)
+            yield from zip(terms, range(self.base[i], self.base[i + 1]), documents)
 
-    def terms(self, least: int) -> Iterator[tuple[bytes, int, list[tuple[int, int]]]]:
-        """(term, documents, [(source, count)]) of terms in at least ``least`` documents, in term order."""
+    def merged(self, least: int) -> Iterator[tuple[list[bytes], list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        """In parts of ``_SLICE_TERMS``: terms in at least ``least`` documents
+        in order, their documents, and their postings: ends, sources, counts."""
         runs = defaultdict(list)
         for i, (run, seq) in enumerate(zip(self.rows["run"].to_pylist(), self.rows["seq"].to_pylist())):
             runs[run].append((seq, i))
-        ends = [np.concatenate([[0], e.values.to_numpy()]) for e in self.rows["ends"]]
-        sources = [self.of[i][s.values.to_numpy()] for i, s in enumerate(self.rows["sources"])]
-        counts = [c.values.to_numpy() for c in self.rows["counts"]]
         streams = [self._stream([i for _, i in sorted(order)]) for order in runs.values()]
+        terms, documents, of_term, places = [], [], [], []
         for term, found in groupby(heapq.merge(*streams), key=itemgetter(0)):
             found = list(found)
-            documents = sum(f[3] for f in found)
-            if documents < least:
+            n = sum([f[2] for f in found])
+            if n < least:
                 continue
-            total: Counter = Counter()
-            for _, i, place, _ in found:
-                a, b = ends[i][place], ends[i][place + 1]
-                for source, n in zip(sources[i][a:b].tolist(), counts[i][a:b].tolist()):
-                    total[source] += n
-            yield term, documents, sorted(total.items())
+            of_term += [len(terms)] * len(found)
+            places += [f[1] for f in found]
+            terms.append(term)
+            documents.append(n)
+            if len(terms) == _SLICE_TERMS:
+                yield terms, documents, *self._postings(np.array(of_term), np.array(places))
+                terms, documents, of_term, places = [], [], [], []
+        if terms:
+            yield terms, documents, *self._postings(np.array(of_term), np.array(places))
+
+    def _postings(self, of_term: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The postings at some places, those of one term and source summed."""
+        sizes, n = self.ends[places] - self.begins[places], len(self.names)
+        held = np.repeat(self.begins[places] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        key = np.repeat(of_term, sizes) * n + self.sources[held]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        ends = np.cumsum(np.bincount(key[first] // n, minlength=int(of_term[-1]) + 1))
+        return ends, key[first] % n, np.add.reduceat(self.counts[held][order], first)
 
 
 def merge_runs(runs: DataFrame, n_runs: int, fan_in: int = FAN_IN) -> DataFrame:
@@ -181,7 +205,8 @@ def merge_runs(runs: DataFrame, n_runs: int, fan_in: int = FAN_IN) -> DataFrame:
     def merged(key: tuple, rows: pa.Table) -> pa.Table:
         held = RunSlices(rows)
         lang, shard, run = (k.as_py() for k in key)
-        return pa.Table.from_batches(list(slices(lang, shard, run, held.names, held.terms(0))))
+        return pa.Table.from_batches([_row(lang, shard, run, seq, terms, documents, ends, held.names, sources, counts)
+                                      for seq, (terms, documents, ends, sources, counts) in enumerate(held.merged(0))])
 
     path = None
     while n_runs > fan_in:
@@ -196,18 +221,20 @@ def merge_runs(runs: DataFrame, n_runs: int, fan_in: int = FAN_IN) -> DataFrame:
 
 def frequencies(runs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(lang, shard, term, total, sources, counts): the kept terms with their count in every source that has them."""
+    names = ["lang", "shard", "term", "total", "sources", "counts"]
+
     def kept(key: tuple, rows: pa.Table) -> pa.Table:
-        held = RunSlices(rows)
-        out = list(held.terms(min_documents))
-        ends = pa.array(np.cumsum([0, *(len(p) for _, _, p in out)]), pa.int32())
-        names = pa.array(held.names, pa.string())
-        flat = np.array([s for _, _, p in out for s, _ in p], np.int64)
-        counts = pa.array([n for _, _, p in out for _, n in p], pa.int64())
-        return pa.table({
-            "lang": pa.array([key[0].as_py()] * len(out), pa.string()), "shard": pa.array([key[1].as_py()] * len(out), pa.int32()),
-            "term": pa.array([t for t, _, _ in out], pa.binary()).cast(pa.string()),
-            "total": pa.array([sum(n for _, n in p) for _, _, p in out], pa.int64()),
-            "sources": pa.ListArray.from_arrays(ends, names.take(pa.array(flat))), "counts": pa.ListArray.from_arrays(ends, counts)})
+        held, batches = RunSlices(rows), []
+        for terms, _, ends, sources, counts in held.merged(min_documents):
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            total = np.add.reduceat(counts, np.concatenate([[0], ends[:-1]]))
+            batches.append(pa.RecordBatch.from_arrays([
+                pa.repeat(key[0], len(terms)), pa.repeat(key[1], len(terms)), pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array(total), pa.ListArray.from_arrays(offsets, pa.array(held.names, pa.string()).take(pa.array(sources))),
+                pa.ListArray.from_arrays(offsets, pa.array(counts))], names))
+        empty = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("term", pa.string()), ("total", pa.int64()),
+                           ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+        return pa.Table.from_batches(batches) if batches else empty.empty_table()
 
     return runs.groupBy("lang", "shard").applyInArrow(
         kept, "lang string, shard int, term string, total bigint, sources array<string>, counts array<bigint>")

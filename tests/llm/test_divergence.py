@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimsmith.llm import divergence as D
@@ -86,11 +87,28 @@ def test_empty(spark):
     assert rows_of(D.source_divergence(one)) == []
 
 
-def test_slices_keep_every_term(monkeypatch):
+def test_runs_and_merges_keep_every_posting(monkeypatch):
     monkeypatch.setattr(D, "_SLICE_TERMS", 3)
-    posted = [(b"%03d" % i, 1, [(0, i)]) for i in range(10)]
-    batches = list(D.slices("en", 0, 0, ["s"], iter(posted)))
-    assert [t for b in batches for t in b.column(4)[0].as_py()] == [t for t, _, _ in posted]
+    rng, want, slices = random.Random(1), defaultdict(Counter), []
+    for run in range(4):
+        block = D.Block()
+        for _ in range(20):
+            text, source = " ".join(rng.choices([w for w in WORDS if "\x00" not in w], k=9)), rng.choice("uvw")
+            block.add(text.encode(), "en", source)
+            for term in terms_of(text):
+                want[term][source] += 1
+        slices += [b for b in block.run(run, 2)]
+    rng.shuffle(slices)
+    got = {}
+    for shard in (0, 1):
+        held = D.RunSlices(pa.Table.from_batches([b for b in slices if b.column(1)[0].as_py() == shard]))
+        last = b""
+        for terms, _, ends, sources, counts in held.merged(0):
+            for term, a, b in zip(terms, [0, *ends], ends):
+                assert last < term and term not in got
+                last = term
+                got[term] = {held.names[s]: n for s, n in zip(sources[a:b].tolist(), counts[a:b].tolist())}
+    assert {t.decode(): c for t, c in got.items()} == want
 
 
 def test_shares_are_exact_for_large_counts():
