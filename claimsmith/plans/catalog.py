@@ -17,6 +17,7 @@ from claimsmith.operators import clean as CL
 from claimsmith.operators import quality as Q
 from claimsmith.operators import star as B
 from claimsmith.operators import synthesize as D
+from claimsmith.operators.keys import scratch_table_path
 from claimsmith.sources import adapters as A
 from claimsmith.sources import io
 from claimsmith.sources.io import materialize
@@ -200,6 +201,13 @@ def kpi_synthesized(t: A.Tables) -> DataFrame:
     return N.claims_kpi(B.reimbursement_totals(lines), dates)
 
 
+def csv_records(t: A.Tables) -> DataFrame:
+    """S4 then S1: a raw CSV snapshot of the records, read back."""
+    path = scratch_table_path(t.spark, "csv-records")
+    io.write_raw_snapshot(A.csv_records(t), ["record_id", "name", "note"], path)
+    return io.read_csv(t.spark, path, keep_empty=True)
+
+
 def coarse_claim_lines(s: Star) -> DataFrame:
     """Claim lines of the coarse variant (nation providers, yearly dates);
     patients and treatments are the star's own dimensions."""
@@ -261,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_q7_python_checks_broken": _star(lambda s: _python_checks(s, broken=True)),
     "q8_q12_sql_checks_broken": _star(lambda s: _sql_checks(s, broken=True)),
     # source reports
+    "s1_csv_records": _tables(csv_records),
     "s5_source_health_summary": _tables(lambda t: io.source_health_summary(A.ingestion_records(t))),
     "s6_source_health_report": _tables(lambda t: io.source_health_report(A.ingestion_records(t))),
     "s12_run_metadata": _star(_run_metadata),

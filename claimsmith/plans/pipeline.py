@@ -106,7 +106,7 @@ def ingest(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
 
 def stage_clean(spark: SparkSession, cfg: PipelineConfig) -> None:
     """C1-C4 over the raw snapshot of the run date."""
-    raw = {n: io.read_csv(spark, f"{cfg.raw_root}/{cfg.run_date}/{n}", cfg.pandas_missing_tokens)
+    raw = {n: io.read_csv(spark, f"{cfg.raw_root}/{cfg.run_date}/{n}", cfg.pandas_missing_tokens, keep_empty=True)
            for n in SOURCE_COLUMNS}
     for n, df in raw.items():
         io.validate_columns(df, SOURCE_COLUMNS[n])

@@ -346,6 +346,19 @@ def raw_regions(t: Tables) -> DataFrame:
     ).unionByName(r.select("region_id", F.lower("region_name").alias("region_name"), "population_group"))
 
 
+# Fixed forms of a name ({n}) that a CSV must quote, double or keep as it is.
+CSV_NAMES = ("{n}", "{n}, Ltd", 'The "{n}"', "{n}\nBranch", '"{n}",\r\n"x"', "C:\\{n}\\", "", None, " {n} ", '""', '\\"{n}')
+
+
+def csv_records(t: Tables) -> DataFrame:
+    """Customers with names in every form; the note has another form than the name."""
+    key = F.col("c_custkey")
+    fill = {"n": F.col("c_name")}
+    return t.customer.select(
+        key.cast("string").alias("record_id"), _pick(CSV_NAMES, key, fill).alias("name"),
+        _pick(CSV_NAMES, key + F.floor(key / len(CSV_NAMES)).cast("bigint") + 1, fill).alias("note"))
+
+
 # Fixed dirt vocabulary for text counts, months and statuses (chosen by a
 # key derived from the row, never used to drop rows).
 DIRTY_COUNTS = ("{n}", "{n}.0", "{n}.9", " {n} ", "0", "-3", "abc", None, "1e2", "+{n}", "3000000000", ".5")

@@ -46,12 +46,41 @@ def validate_columns(df: DataFrame, required: list[str]) -> None:
         raise MissingColumnsError(f"Missing required columns: {missing}")
 
 
-def read_csv(spark: SparkSession, path: str, pandas_missing_tokens: bool = False) -> DataFrame:
+def _csv_options(multi_line: bool) -> dict[str, str]:
+    """Quoted fields hold commas, line breaks and doubled quotes; a backslash
+    is a character like any other."""
+    return {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
+
+
+def _quoting(spark: SparkSession, path: str) -> tuple[bool, bool]:
+    """(a quoted field holds a line break, a quote is never closed).
+
+    A record goes on in the next line exactly when its line ends inside
+    quotes, and the first such line has an odd number of them. So one split
+    read of the lines tells whether the file can be read split by lines, too;
+    only files with such records are read whole by one task each.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"')))).cast("bigint").alias("quotes"))
+    by_file = lines.groupBy("file").agg(F.max(F.col("quotes") % 2).alias("odd"), (F.sum("quotes") % 2).alias("open"))
+    row = by_file.agg(F.max("odd"), F.max("open")).first()
+    return bool(row[0]), bool(row[1])
+
+
+#: A text that stands for null when an empty quoted field must not: three control characters.
+_NULL_TEXT = "\x01\x02\x03"
+
+
+def read_csv(spark: SparkSession, path: str, pandas_missing_tokens: bool = False, keep_empty: bool = False) -> DataFrame:
     """Header CSV, every column a string, names from the header (a UTF-8
-    BOM is stripped by Spark). No ``.schema``: with a header Spark would bind
-    a schema by position. ``pandas_missing_tokens`` nulls 'NA', 'null', ...
-    like the reference's pandas-based ingest."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
+    BOM is stripped by Spark). Records may span lines inside quotes (in a file
+    whose records end in CR LF, a quoted CR LF reads as LF). No ``.schema``: with a header Spark would bind a schema by position.
+    ``pandas_missing_tokens`` nulls 'NA', 'null', ... like the reference's
+    pandas-based ingest. An empty field is null, quoted or not; with
+    ``keep_empty`` a quoted one is an empty text, as a snapshot means it."""
+    options = _csv_options(_quoting(spark, path)[0]) | ({"nullValue": _NULL_TEXT} if keep_empty else {})
+    df = spark.read.options(**options).option("inferSchema", False).csv(path)
     return null_missing_tokens(df) if pandas_missing_tokens else df
 
 
@@ -64,17 +93,20 @@ _SURPLUS = "__cs_surplus"
 
 def read_checked_csv(spark: SparkSession, path: str) -> DataFrame:
     """S1 with the checks of a strict reader, run before the source is
-    chosen: an empty file, unreadable content or a line with more fields than
-    the header raises. (A shorter line is filled with nulls.) The read-through
-    is one distributed pass that stops at the first surplus field."""
-    header = read_csv(spark, path).columns
+    chosen: an empty file, unreadable content, a quote that is never closed or
+    a record with more fields than the header raises. (A shorter record is
+    filled with nulls.) The read-throughs are distributed passes; the second
+    stops at the first surplus field."""
+    multi_line, unclosed = _quoting(spark, path)
+    if unclosed:
+        raise MalformedSourceError(f"a quoted field of {path} is never closed")
+    header = spark.read.options(**_csv_options(multi_line)).csv(path).columns
     if not header:
         raise MalformedSourceError(f"no header in {path}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _SURPLUS]])
-    df = (spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", True)
-          .schema(schema).csv(path))
+    df = spark.read.options(**_csv_options(multi_line)).option("enforceSchema", True).schema(schema).csv(path)
     if not df.where(F.col(_SURPLUS).isNotNull()).isEmpty():
-        raise MalformedSourceError(f"a line of {path} has more fields than the header")
+        raise MalformedSourceError(f"a record of {path} has more fields than the header")
     return df.drop(_SURPLUS)
 
 
@@ -115,8 +147,19 @@ def read_source(spark: SparkSession, source_name: str, primary: str, fallback: s
 
 
 def write_raw_snapshot(df: DataFrame, required: list[str], path: str) -> None:
-    """Required columns in declared order, CSV with header, replaced."""
-    df.select(*required).write.mode("overwrite").option("header", True).csv(path)
+    """Required columns in declared order, CSV with header, replaced.
+
+    ``read_csv(..., keep_empty=True)`` gives back every value: quotes are doubled, fields with
+    commas, quotes or line breaks are quoted, white space at the ends stays,
+    and an empty text (quoted) is told from null (nothing). A single column's
+    null would be a blank line, which readers skip, so such a snapshot raises
+    on write if it holds one.
+    """
+    out = df.select(*required)
+    if len(required) == 1:
+        out = out.select(F.coalesce(required[0], F.raise_error(F.lit(f"null in the only column {required[0]}"))).alias(required[0]))
+    (out.write.mode("overwrite").options(**{k: v for k, v in _csv_options(False).items() if k != "multiLine"})
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", '""').csv(path))
 
 
 def ingest_sources(spark: SparkSession, sources: dict[str, dict], raw_root: str, run_date: str,
