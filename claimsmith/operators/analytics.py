@@ -21,41 +21,61 @@ DUPLICATE_KEYS = ("patient_sk", "provider_sk", "treatment_sk", "date_sk")
 AVG_RATIO_DECIMALS = 10
 
 
-def _monthly(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """J7 + A5 core: cents totals per (year, month)."""
+def monthly_cents(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """J7 + A5 core: cents totals per (year, month) of the curated tables."""
     joined = fact_reimbursements.join(dim_date.select("date_sk", "year", "month"), "date_sk", "inner")
     return joined.groupBy("year", "month").agg(
         F.sum("total_claims").cast("bigint").alias("claims_volume"),
-        F.sum(M.to_cents("total_billed")).alias("__billed_c"),
-        F.sum(M.to_cents("total_reimbursed")).alias("__reimb_c"),
+        F.sum(M.to_cents("total_billed")).alias("billed_cents"),
+        F.sum(M.to_cents("total_reimbursed")).alias("reimbursed_cents"),
     )
 
 
-def claims_kpi(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """N1 (flagship): monthly volume, totals (2 dp) and rate (4 dp, half-up,
-    null when billed is 0), ordered by year, month."""
-    m = _monthly(fact_reimbursements, dim_date)
-    return m.select(
+def monthly_from_daily(daily: DataFrame) -> DataFrame:
+    """A5 core from sums per date (``star.daily_cents``). J7 is an identity
+    here: the date key tells its year and month, and dim_date has every date
+    that occurs, so the join would drop rows without a date and nothing else."""
+    date = F.col("date_sk")
+    return daily.where(date.isNotNull()).groupBy(
+        M.int_div(date, F.lit(10000)).cast("int").alias("year"),
+        F.pmod(M.int_div(date, F.lit(100)), F.lit(100)).cast("int").alias("month"),
+    ).agg(
+        F.sum("total_claims").cast("bigint").alias("claims_volume"),
+        F.sum("billed_cents").alias("billed_cents"), F.sum("reimbursed_cents").alias("reimbursed_cents"))
+
+
+def kpi_rows(monthly: DataFrame) -> DataFrame:
+    """A5: totals (2 dp) and rate (4 dp, half-up, null when billed is 0), ordered by year, month."""
+    return monthly.select(
         "year", "month", "claims_volume",
-        M.cents_to_double("__billed_c").alias("billed_total"),
-        M.cents_to_double("__reimb_c").alias("reimbursed_total"),
-        M.round_half_up_ratio(F.col("__reimb_c"), F.col("__billed_c"), 4).alias("reimbursement_rate"),
+        M.cents_to_double("billed_cents").alias("billed_total"),
+        M.cents_to_double("reimbursed_cents").alias("reimbursed_total"),
+        M.round_half_up_ratio(F.col("reimbursed_cents"), F.col("billed_cents"), 4).alias("reimbursement_rate"),
     ).orderBy("year", "month")
 
 
-def claims_kpi_unrounded(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """The notebook form; unrounded rate, x/0 -> null (pandas gives inf/NaN)."""
-    m = _monthly(fact_reimbursements, dim_date)
-    billed = M.cents_to_double("__billed_c")
-    reimb = M.cents_to_double("__reimb_c")
-    return m.select(
+def kpi_rows_unrounded(monthly: DataFrame) -> DataFrame:
+    """The notebook form; unrounded rate, x/0 -> null (pandas gives inf/NaN)."""
+    billed = M.cents_to_double("billed_cents")
+    reimb = M.cents_to_double("reimbursed_cents")
+    return monthly.select(
         "year", "month", "claims_volume",
         billed.alias("billed_total"),
         reimb.alias("reimbursed_total"),
-        F.when(F.col("__billed_c") != 0, reimb / billed).alias("reimbursement_rate"),
+        F.when(F.col("billed_cents") != 0, reimb / billed).alias("reimbursement_rate"),
     ).orderBy("year", "month")
 
 
+def claims_kpi(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """N1 (flagship) over the curated tables."""
+    return kpi_rows(monthly_cents(fact_reimbursements, dim_date))
+
+
+def claims_kpi_unrounded(fact_reimbursements: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """N2 over the curated tables."""
+    return kpi_rows_unrounded(monthly_cents(fact_reimbursements, dim_date))
+
+
 def claim_anomaly_features(fact_claims: DataFrame) -> DataFrame:
     """N3 + W3: per-claim ratio, high-ratio flag and duplicate-pattern flag.
 
@@ -149,7 +169,8 @@ def category_summary(fact_claims: DataFrame, dim_treatment: DataFrame) -> DataFr
 
 def patient_journey(fact_claims: DataFrame, fact_prescriptions: DataFrame, fact_visits: DataFrame) -> DataFrame:
     """Every claim, prescription and visit of a patient in date order,
-    numbered per patient (skew-safe row number, see keys.group_row_number)."""
+    numbered per patient (skew-safe row number, see keys.group_row_number).
+    The inputs need no key of their own: unkeyed lines will do."""
     events = (
         fact_claims.select("patient_sk", F.col("date_sk").alias("event_date_sk"), F.lit("claim").alias("event_type"),
                            F.col("claim_id").alias("event_id"), F.col("billed_amount").alias("amount"))
@@ -186,36 +207,37 @@ def regional_report(fact_claims: DataFrame, dim_provider: DataFrame, dim_region:
     )
 
 
+def _counts_by_name(row: DataFrame, name: str, counts: dict[str, tuple[str, str]], out: tuple[str, str]) -> DataFrame:
+    """One row per entry of ``counts`` (name -> two columns) from one row of counts."""
+    entries = [F.struct(F.lit(k).alias(name), F.col(a).cast("bigint").alias(out[0]), F.col(b).cast("bigint").alias(out[1]))
+               for k, (a, b) in counts.items()]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def invalid_month_counts(raw_claims: DataFrame, raw_prescriptions: DataFrame) -> DataFrame:
-    """Rows per source whose month text does not give a valid date."""
+    """Rows per source whose month text does not give a valid date. Both
+    sources go through one aggregation of their months."""
     from claimsmith.functions.calendar import month_start
     from claimsmith.functions.text import safe_month
 
-    def one(df: DataFrame, name: str) -> DataFrame:
-        bad = month_start(safe_month("claim_month")).isNull()
-        return df.agg(
-            F.lit(name).alias("source_name"),
-            F.count(F.lit(1)).cast("bigint").alias("rows"),
-            F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("invalid_month_rows"),
-        )
-
-    return one(raw_claims, "claims").unionByName(one(raw_prescriptions, "prescriptions"))
+    months = raw_claims.select(F.lit("claims").alias("source_name"), "claim_month").unionByName(
+        raw_prescriptions.select(F.lit("prescriptions").alias("source_name"), "claim_month"))
+    bad = month_start(safe_month("claim_month")).isNull()
+    both = ("claims", "prescriptions")
+    row = months.agg(*[f(F.col("source_name") == s).alias(f"{k}_{s}") for s in both for k, f in (
+        ("rows", F.count_if), ("bad", lambda own: F.count_if(own & bad)))])  # no rows: counts of 0
+    return _counts_by_name(row, "source_name", {s: (f"rows_{s}", f"bad_{s}") for s in both}, ("rows", "invalid_month_rows"))
 
 
 def unparsable_amount_counts(raw_claims: DataFrame) -> DataFrame:
     """Per amount column the rows, and those whose text is there but is
-    not an amount (cleaning turns them into null)."""
+    not an amount (cleaning turns them into null). One pass."""
     from claimsmith.functions.text import money_decimal
 
-    def one(name: str) -> DataFrame:
-        lost = F.col(name).isNotNull() & money_decimal(name).isNull()
-        return raw_claims.agg(
-            F.lit(name).alias("column_name"),
-            F.count(F.lit(1)).cast("bigint").alias("rows"),
-            F.sum(F.when(lost, 1).otherwise(0)).cast("bigint").alias("unparsable_rows"),
-        )
-
-    return one("total_billed").unionByName(one("total_reimbursed"))
+    names = ("total_billed", "total_reimbursed")
+    row = raw_claims.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(c).isNotNull() & money_decimal(c).isNull()).alias(f"lost_{c}") for c in names])
+    return _counts_by_name(row, "column_name", {c: ("rows", f"lost_{c}") for c in names}, ("rows", "unparsable_rows"))
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -97,11 +97,6 @@ class Star:
         return B.dim_date(self.stg["stg_claims_events"], self.stg["stg_prescriptions_events"],
                           self.stg["stg_visits_events"])
 
-    @cached_property
-    def claim_dates(self) -> DataFrame:
-        """dim_date of the claims alone: all that a report of claims can meet."""
-        return B.dim_date(A.claim_events(self.t, self._plain_lines))
-
     @cached_property
     def reimbursement_lines(self) -> DataFrame:
         """Claim lines without patients: no order is read, nothing is written."""
@@ -114,6 +109,19 @@ class Star:
         return B.claim_lines(self._lazy["stg_claims_events"], self.dim_provider, self.dim_treatment, self.dim_patient).select(
             "patient_sk", *LINE_COLUMNS)
 
+    @cached_property
+    def claim_rows(self) -> DataFrame:
+        """The rows of fact_claims without their key, over shared staging."""
+        return B.claim_lines(self.stg["stg_claims_events"], self.dim_provider, self.dim_treatment, self.dim_patient)
+
+    @cached_property
+    def prescription_rows(self) -> DataFrame:
+        return B.prescription_lines(self.stg["stg_prescriptions_events"], self.dim_patient, self.dim_provider, self.dim_treatment)
+
+    @cached_property
+    def visit_rows(self) -> DataFrame:
+        return B.visit_lines(self._lazy["stg_visits_events"], self.dim_patient, self.dim_provider)
+
     @cached_property
     def fact_claims(self) -> DataFrame:
         return B.fact_claims(self.stg["stg_claims_events"], self.dim_patient, self.dim_provider, self.dim_treatment)
@@ -136,6 +144,15 @@ class Star:
                  "fact_prescriptions", "fact_visits", "fact_reimbursements"]
         return {n: getattr(self, n) for n in names}
 
+    def counted(self) -> dict[str, DataFrame]:
+        """Frames with the rows of the curated tables, for counts. A fact has
+        one row per event (lookups are left joins on unique keys, and dense
+        keys number the rows), and the totals one per group of lines."""
+        return {"dim_region": self.dim_region, "dim_provider": self.dim_provider, "dim_treatment": self.dim_treatment,
+                "dim_patient": self.dim_patient, "dim_date": self.dim_date, "fact_claims": self.claim_rows,
+                "fact_prescriptions": self.prescription_rows, "fact_visits": self.visit_rows,
+                "fact_reimbursements": B.reimbursement_cents(self.reimbursement_lines)}
+
 
 class _LazyMap(dict):
     """dict view that builds entries on access."""
@@ -192,13 +209,7 @@ def synthesized_staging(t: A.Tables) -> dict[str, DataFrame]:
 
 
 def kpi_synthesized(t: A.Tables) -> DataFrame:
-    stg = synthesized_staging(t)
-    region = B.dim_region(stg["stg_regions"])
-    provider = B.dim_provider(stg["stg_providers"], region)
-    treatment = B.dim_treatment(stg["stg_claims_events"], stg["stg_prescriptions_events"])
-    dates = B.dim_date(stg["stg_claims_events"])  # the inner join can meet no other date
-    lines = B.claim_lines(stg["stg_claims_events"], provider, treatment)
-    return N.claims_kpi(B.reimbursement_totals(lines), dates)
+    return N.kpi_rows(N.monthly_from_daily(B.daily_cents(synthesized_claims(t))))
 
 
 def csv_records(t: A.Tables) -> DataFrame:
@@ -215,11 +226,6 @@ def coarse_claim_lines(s: Star) -> DataFrame:
     return B.claim_lines(A.coarse_claim_events(s.t), provider, s.dim_treatment, s.dim_patient)
 
 
-def _kpi_inputs(s: Star) -> Star:
-    s.dim_region  # shared by the provider dimension: keyed once, first
-    return s.prefetch("dim_provider", "dim_treatment")
-
-
 def _checked(s: Star, broken: bool) -> dict[str, DataFrame]:
     """The curated tables that checks read, built when they are."""
     return _LazyMap(lambda n: _BREAKS[n](getattr(s, n)) if broken and n in _BREAKS else getattr(s, n),
@@ -239,15 +245,14 @@ def _sql_checks(s: Star, broken: bool = False) -> DataFrame:
 
 def _run_metadata(s: Star) -> DataFrame:
     """S12 without its time of publication."""
-    return io.run_metadata(N.table_row_counts(s.curated()), "2025-02-01").drop("published_at")
+    return io.run_metadata(N.table_row_counts(s.counted()), "2025-02-01").drop("published_at")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # analytics (flagship first)
-    "n1_claims_kpi": _star(lambda s: N.claims_kpi(B.reimbursement_totals(_kpi_inputs(s).reimbursement_lines),
-                                                  s.claim_dates)),
-    "n2_claims_kpi_unrounded": _star(
-        lambda s: N.claims_kpi_unrounded(B.reimbursement_totals(_kpi_inputs(s).reimbursement_lines), s.claim_dates)),
+    "n1_claims_kpi": _tables(lambda t: N.kpi_rows(N.monthly_from_daily(B.daily_cents(A.claim_amounts(t))))),
+    "n2_claims_kpi_unrounded": _tables(
+        lambda t: N.kpi_rows_unrounded(N.monthly_from_daily(B.daily_cents(A.claim_amounts(t))))),
     "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(s.patient_lines)),
     "n4_provider_anomaly_top20": _star(lambda s: N.provider_anomaly_ranking(s.patient_lines)),
     "n5_provider_snapshot": _star(lambda s: N.provider_snapshot(s.patient_lines)),
@@ -275,14 +280,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s12_run_metadata": _star(_run_metadata),
     # declared reports
     "x1_category_summary": _star(lambda s: N.category_summary(s.reimbursement_lines, s.dim_treatment)),
-    "x2_patient_journey": _star(lambda s: N.patient_journey(s.fact_claims, s.fact_prescriptions, s.fact_visits)),
+    "x2_patient_journey": _star(lambda s: N.patient_journey(s.claim_rows, s.prescription_rows, s.visit_rows)),
     "x4_regional_report": _star(
         lambda s: N.regional_report(s.reimbursement_lines, s.dim_provider, s.dim_region, s.dim_treatment)),
-    "s13_table_row_counts": _star(lambda s: N.table_row_counts(s.curated())),
+    "s13_table_row_counts": _star(lambda s: N.table_row_counts(s.counted())),
     "x6_stage_row_counts": _star(lambda s: N.stage_row_counts({
         "staging": {n: s.stg[n] for n in ("stg_regions", "stg_providers", "stg_patients", "stg_claims_events",
                                           "stg_prescriptions_events", "stg_visits_events")},
-        "curated": s.curated()})),
+        "curated": s.counted()})),
     # cleaning of dirty raw text
     "c1_clean_providers": _tables(lambda t: CL.clean_providers(A.raw_providers(t))),
     "c2_clean_regions": _tables(lambda t: CL.clean_regions(A.raw_regions(t))),

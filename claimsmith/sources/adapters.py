@@ -176,6 +176,15 @@ def claim_events(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     )
 
 
+def claim_amounts(t: Tables) -> DataFrame:
+    """Dates and amounts of the claim events: a projection of lineitem, for
+    reports that need no attribute of a provider, patient or treatment."""
+    return t.lineitem.select(
+        F.col("l_shipdate").cast("date").alias("claim_date"),
+        _price_cents_dec().cast("double").alias("billed_amount"),
+        _reimbursed_dec().cast("double").alias("reimbursed_amount"))
+
+
 def nation_providers(t: Tables) -> DataFrame:
     """Providers of the coarse variant: one per nation."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
