@@ -66,16 +66,23 @@ def int_from_text(c: Column | str) -> Column:
     return F.when(s.rlike(INT_TEXT_PATTERN), whole.try_cast("bigint"))
 
 
+def beyond_range(c: Column | str) -> Column:
+    """A plain number that is larger than any bigint (negative ones are
+    clamped like all negatives)."""
+    s = _col(c).cast("string")
+    return F.coalesce(s.rlike(INT_TEXT_PATTERN) & ~F.startswith(F.ltrim(s), F.lit("-")) & int_from_text(c).isNull(), F.lit(False))
+
+
 def positive_count(c: Column | str) -> Column:
-    """Count > 0, else 1 (null, bad text, 0, negatives)."""
+    """Count > 0, else 1 (null, bad text, 0, negatives); null beyond bigint, not a wrong count."""
     n = int_from_text(c)
-    return F.when(n > 0, n).otherwise(F.lit(1).cast("bigint"))
+    return F.when(n > 0, n).when(~beyond_range(c), F.lit(1).cast("bigint"))
 
 
 def non_negative_int(c: Column | str) -> Column:
-    """Value >= 0, else 0."""
+    """Value >= 0, else 0; null beyond bigint."""
     n = int_from_text(c)
-    return F.when(n >= 0, n).otherwise(F.lit(0).cast("bigint"))
+    return F.when(n >= 0, n).when(~beyond_range(c), F.lit(0).cast("bigint"))
 
 
 def money_decimal(c: Column | str) -> Column:

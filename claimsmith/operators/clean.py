@@ -6,9 +6,11 @@ per-key de-duplication of W2 for the two reference sources.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from claimsmith.functions import text as T
+from claimsmith.functions.calendar import month_start
 from claimsmith.operators.keys import dedup_keep_smallest
 
 DEFAULT_CLAIM_STATUS = "approved"  # fixed value (reference configuration)
@@ -61,6 +63,47 @@ def clean_prescriptions_agg(df: DataFrame) -> DataFrame:
     )
 
 
+def _count_rules(name: str, least: int) -> dict[tuple[str, str], Column]:
+    n = T.int_from_text(name)
+    beyond = T.beyond_range(name)
+    return {(name, "clamped"): ~F.coalesce(n >= least, F.lit(False)) & ~beyond, (name, "beyond_range"): beyond}
+
+
+def _amount_rules(name: str) -> dict[tuple[str, str], Column]:
+    return {(name, "unparsable"): F.col(name).isNotNull() & T.money_decimal(name).isNull()}
+
+
+def reject_rules(source: str) -> dict[tuple[str, str], Column]:
+    """(column, rule) -> condition on a raw row, for every value that cleaning
+    changes or drops: ``invalid`` months (no date), ``clamped`` counts (missing,
+    no number or too small), counts ``beyond_range`` (null after cleaning) and
+    ``unparsable`` amounts (null after cleaning)."""
+    month = {("claim_month", "invalid"): month_start(T.safe_month("claim_month")).isNull()}
+    if source == "claims":
+        return month | _count_rules("claim_count", 1) | _amount_rules("total_billed") | _amount_rules("total_reimbursed")
+    if source == "prescriptions":
+        return month | _count_rules("prescription_count", 1) | _count_rules("total_quantity", 0)
+    return {}
+
+
+def reject_counts(source: str) -> list[Column]:
+    """One named count per rule, for an aggregation or an Observation of the raw rows."""
+    return [F.count_if(c).alias(f"{column}:{rule}") for (column, rule), c in reject_rules(source).items()]
+
+
+def rejected_values(raw: dict[str, DataFrame]) -> DataFrame:
+    """(source_name, column_name, rule, rows) of raw sources, each read once;
+    every rule has a row, also with a count of 0."""
+    out = None
+    for source, df in raw.items():
+        rows = F.array(*[F.struct(F.lit(source).alias("source_name"), F.lit(column).alias("column_name"),
+                                  F.lit(rule).alias("rule"), F.col(f"`{column}:{rule}`").cast("bigint").alias("rows"))
+                         for column, rule in reject_rules(source)])
+        found = df.agg(*reject_counts(source)).select(F.inline(rows))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def null_missing_tokens(df: DataFrame) -> DataFrame:
     """S1 parity with a pandas CSV read: 'NA', 'null', ... become null."""
     return df.select(*[T.null_missing_tokens(c).alias(c) for c in df.columns])
@@ -72,4 +115,7 @@ __all__ = [
     "clean_claims_agg",
     "clean_prescriptions_agg",
     "null_missing_tokens",
+    "reject_rules",
+    "reject_counts",
+    "rejected_values",
 ]

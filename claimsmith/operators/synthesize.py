@@ -72,8 +72,8 @@ def synthesize_claim_events(claims_agg: DataFrame, seed: int = DEFAULT_SEED,
     )
     ev = expand_by_count(keyed, "claim_count", "source_row_key", num_partitions=num_partitions)
     n, seq = F.col("claim_count"), F.col("seq")
-    billed_c = M.allocate_cents(F.col("__billed_c"), n, seq)
-    reimb_c = M.allocate_cents(F.col("__reimb_c"), n, seq)
+    billed_c = M.allocate_cents(F.col("__billed_c"), n, seq, M.floor_div_cents)
+    reimb_c = M.allocate_cents(F.col("__reimb_c"), n, seq, M.floor_div_cents)
     return ev.select(
         H.keyed_id(seed, "claim", "source_row_key", "seq").alias("claim_id"),
         H.keyed_id(seed, "patient", "source_row_key", "seq").alias("patient_id"),

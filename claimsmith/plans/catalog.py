@@ -188,6 +188,10 @@ def synthesized_claims(t: A.Tables, yearly: bool = False) -> DataFrame:
     return D.synthesize_claim_events(agg)
 
 
+def large_claims(t: A.Tables) -> DataFrame:
+    return D.synthesize_claim_events(materialize(CL.clean_claims_agg(A.large_claims_agg(t)), "stg_claims_agg"))
+
+
 def synthesized_prescriptions(t: A.Tables) -> DataFrame:
     agg = materialize(CL.clean_prescriptions_agg(A.prescriptions_agg(t)), "stg_prescriptions_agg")
     return D.synthesize_prescription_events(agg)
@@ -253,10 +257,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "n1_claims_kpi": _tables(lambda t: N.kpi_rows(N.monthly_from_daily(B.daily_cents(A.claim_amounts(t))))),
     "n2_claims_kpi_unrounded": _tables(
         lambda t: N.kpi_rows_unrounded(N.monthly_from_daily(B.daily_cents(A.claim_amounts(t))))),
-    "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(s.patient_lines)),
+    "n3_claim_anomaly_features": _star(lambda s: N.claim_anomaly_features(materialize(s.patient_lines, "claim_lines"))),
     "n4_provider_anomaly_top20": _star(lambda s: N.provider_anomaly_ranking(s.patient_lines)),
     "n5_provider_snapshot": _star(lambda s: N.provider_snapshot(s.patient_lines)),
-    "n3_claim_anomaly_features_coarse": _star(lambda s: N.claim_anomaly_features(coarse_claim_lines(s))),
+    "n3_claim_anomaly_features_coarse": _star(lambda s: N.claim_anomaly_features(materialize(coarse_claim_lines(s), "claim_lines"))),
     "n4_provider_anomaly_top20_coarse": _star(lambda s: N.provider_anomaly_ranking(coarse_claim_lines(s))),
     # star builders
     "b1_dim_region": _star(lambda s: s.dim_region),
@@ -295,9 +299,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c4_clean_prescriptions_agg": _tables(lambda t: CL.clean_prescriptions_agg(A.raw_prescriptions(t))),
     "x5_invalid_months": _tables(lambda t: N.invalid_month_counts(A.raw_claims(t), A.raw_prescriptions(t))),
     "x7_unparsable_amounts": _tables(lambda t: N.unparsable_amount_counts(A.raw_claims(t))),
+    "x8_rejected_values": _tables(lambda t: CL.rejected_values({"claims": A.raw_claims(t), "prescriptions": A.raw_prescriptions(t)})),
     # synthesis
     "d9_claim_events": _tables(lambda t: synthesized_claims(t)),
     "d9_claim_events_yearly": _tables(lambda t: synthesized_claims(t, yearly=True)),
+    "d9_claim_events_large": _tables(large_claims),
     "d10_prescription_events": _tables(synthesized_prescriptions),
     "d11_patients": _tables(lambda t: synthesized_staging(t)["stg_patients"]),
     "d13_visits": _tables(lambda t: D.synthesize_visits(

@@ -16,7 +16,7 @@ from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from claimsmith.operators import clean as CL
 from claimsmith.operators import quality as Q
@@ -105,17 +105,24 @@ def ingest(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
 
 
 def stage_clean(spark: SparkSession, cfg: PipelineConfig) -> None:
-    """C1-C4 over the raw snapshot of the run date."""
+    """C1-C4 over the raw snapshot of the run date. What cleaning changes or
+    drops is counted per rule while the tables are written (no other scan) and
+    kept as ``<root>/quality/rejected_values``."""
     raw = {n: io.read_csv(spark, f"{cfg.raw_root}/{cfg.run_date}/{n}", cfg.pandas_missing_tokens, keep_empty=True)
            for n in SOURCE_COLUMNS}
     for n, df in raw.items():
         io.validate_columns(df, SOURCE_COLUMNS[n])
+    seen = {n: Observation(f"rejects_{n}") for n in ("claims", "prescriptions")}
+    raw |= {n: raw[n].observe(seen[n], *CL.reject_counts(n)) for n in seen}
     _write_all({
         "stg_providers": CL.clean_providers(raw["providers"]),
         "stg_regions": CL.clean_regions(raw["regions"]),
         "stg_claims_agg": CL.clean_claims_agg(raw["claims"], cfg.default_status),
         "stg_prescriptions_agg": CL.clean_prescriptions_agg(raw["prescriptions"]),
     }, cfg.staging_root, cfg.run_date)
+    rows = [(n, column, rule, int(seen[n].get[f"{column}:{rule}"])) for n in seen for column, rule in CL.reject_rules(n)]
+    rejects = spark.createDataFrame(rows, "source_name string, column_name string, rule string, rows bigint").coalesce(1)
+    io.write_run_partition(rejects, cfg.quality_root, "rejected_values", cfg.run_date)
 
 
 def synthesize_events(spark: SparkSession, cfg: PipelineConfig) -> None:

@@ -313,6 +313,14 @@ def claims_agg(t: Tables, yearly: bool = False) -> DataFrame:
                       "total_billed", "total_reimbursed", status.alias("claim_status"))
 
 
+def large_claims_agg(t: Tables) -> DataFrame:
+    """Typed claim aggregates of which some hold more cents than 64 bits."""
+    large = F.pmod(F.col("claim_count"), F.lit(5)) == 0
+    return claims_agg(t).withColumns({
+        "total_billed": F.when(large, F.lit(2e17)).otherwise(F.col("total_billed")),
+        "total_reimbursed": F.when(large, F.lit(1.5e17)).otherwise(F.col("total_reimbursed"))})
+
+
 def prescriptions_agg(t: Tables) -> DataFrame:
     lines = _agg_lines(t, yearly=False)
     agg = lines.groupBy("provider_id", "region_id", "treatment_category", "claim_month").agg(
@@ -370,7 +378,7 @@ def csv_records(t: Tables) -> DataFrame:
 
 # Fixed dirt vocabulary for text counts, months and statuses (chosen by a
 # key derived from the row, never used to drop rows).
-DIRTY_COUNTS = ("{n}", "{n}.0", "{n}.9", " {n} ", "0", "-3", "abc", None, "1e2", "+{n}", "3000000000", ".5")
+DIRTY_COUNTS = ("{n}", "{n}.0", "{n}.9", " {n} ", "0", "-3", "abc", None, "1e2", "+{n}", "3000000000", ".5", "99999999999999999999")
 LARGE_AMOUNT = "20000000000000000.00"
 DIRTY_MONTHS = ("{m}", "{m}-15", "bad", None, "{y}-13", " {m}")
 DIRTY_STATUSES = ("{s}", "  {S} ", None, "", "{S}")
