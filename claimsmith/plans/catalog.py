@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimsmith.operators import analytics as N
 from claimsmith.operators import clean as CL
@@ -216,6 +217,28 @@ def kpi_synthesized(t: A.Tables) -> DataFrame:
     return N.kpi_rows(N.monthly_from_daily(B.daily_cents(synthesized_claims(t))))
 
 
+def published_orders(t: A.Tables) -> DataFrame:
+    """S9 with publication: the orders of each year are written three times as
+    a run date of their own; the second version is published after the first,
+    the third is not. Returns what readers of the current versions see."""
+    root = scratch_table_path(t.spark, "published")
+    year = F.year("o_orderdate").cast("string")
+    for version, factor, publish in (("v1", 1, True), ("v2", 2, True), ("v3", 3, False)):
+        rows = t.orders.select("o_orderkey", (F.col("o_custkey") * factor).alias("amount"), year.alias("run_date"))
+        rows.write.partitionBy("run_date").parquet(f"{root}/{version}/orders")
+        if publish:
+            dates = rows.select("run_date").distinct().withColumns(
+                {"version": F.lit(version), "published_at": F.lit(None).cast("timestamp_ntz")})
+            dates.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    current = io.published_versions(t.spark, f"{root}/log").groupBy("version").agg(F.collect_set("run_date").alias("dates"))
+    out = None
+    for version, dates in current.collect():  # a row per version, its run dates
+        part = t.spark.read.parquet(f"{root}/{version}/orders").where(F.col("run_date").isin(dates))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(F.col("run_date").cast("string").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("bigint").alias("amount"))
+
+
 def csv_records(t: A.Tables) -> DataFrame:
     """S4 then S1: a raw CSV snapshot of the records, read back."""
     path = scratch_table_path(t.spark, "csv-records")
@@ -279,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q8_q12_sql_checks_broken": _star(lambda s: _sql_checks(s, broken=True)),
     # source reports
     "s1_csv_records": _tables(csv_records),
+    "s9_published_versions": _tables(published_orders),
     "s5_source_health_summary": _tables(lambda t: io.source_health_summary(A.ingestion_records(t))),
     "s6_source_health_report": _tables(lambda t: io.source_health_report(A.ingestion_records(t))),
     "s12_run_metadata": _star(_run_metadata),

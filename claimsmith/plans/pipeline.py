@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +23,7 @@ from claimsmith.operators import quality as Q
 from claimsmith.operators import star as B
 from claimsmith.operators import synthesize as D
 from claimsmith.operators.analytics import table_row_counts
+from claimsmith.operators.keys import _delete_path as delete_path
 from claimsmith.operators.keys import scratch_scope
 from claimsmith.sources import io
 
@@ -52,6 +53,7 @@ class PipelineConfig:
     pandas_missing_tokens: bool = True         # null 'NA', 'null', ... like the reference's ingest
     fail_on_error: bool = False                # the reference records FAILs and goes on
     sources: dict[str, dict] = field(default_factory=dict)
+    version: str | None = None                 # set: the curated tables of this version, published or not
 
     @property
     def raw_root(self) -> str:
@@ -63,7 +65,11 @@ class PipelineConfig:
 
     @property
     def curated_root(self) -> str:
-        return f"{self.root}/curated"
+        return f"{self.root}/curated" if self.version is None else f"{self.root}/curated_versions/{self.version}"
+
+    @property
+    def publication_log(self) -> str:
+        return f"{self.root}/metadata/published_versions"
 
     @property
     def quality_root(self) -> str:
@@ -186,6 +192,40 @@ def quality_checks(spark: SparkSession, cfg: PipelineConfig, run_id: str | None
     return results
 
 
+def audited_run(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """B12 with its audit before publication: the curated tables are built as
+    a new version, checked, and only then made current by one log entry.
+
+    With ``fail_on_error`` a failing check raises and the former version stays
+    current; without it, the results are recorded and the version is
+    published, as in the reference. Returns the check rows. A rerun of a date
+    publishes another version; :func:`drop_version` removes an old one."""
+    staged = replace(cfg, version=io.new_version())
+    run_transformations(spark, staged, "curated")
+    results = quality_checks(spark, staged)
+    io.publish_version(spark, cfg.publication_log, cfg.run_date, staged.version)
+    return results
+
+
+def published(spark: SparkSession, cfg: PipelineConfig) -> PipelineConfig:
+    """The configuration that reads the current version of the run date, for
+    the serving load, metadata and row counts. What is read with it stays on
+    that version, also when another one is published meanwhile."""
+    return replace(cfg, version=io.current_version(spark, cfg.publication_log, cfg.run_date))
+
+
+def read_published(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    """A curated table of the run date's current version."""
+    return io.read_run_partition(spark, published(spark, cfg).curated_root, table, cfg.run_date)
+
+
+def drop_version(spark: SparkSession, cfg: PipelineConfig, version: str) -> None:
+    """Delete the tables of a version that is not current."""
+    if published(spark, cfg).version == version:
+        raise ValueError(f"{version} is the current version of run_date={cfg.run_date}")
+    delete_path(spark, replace(cfg, version=version).curated_root)
+
+
 def publish_metadata(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Run date, publication time and the curated tables with their row
     counts, written as one small JSON table under ``<root>/metadata``."""

@@ -231,6 +231,41 @@ def read_run_partition(spark: SparkSession, root: str, table: str, run_date: str
     return df.where(F.col("run_date") == F.lit(run_date)).drop("run_date")
 
 
+PUBLISHED_SCHEMA = "run_date string, version string, published_at timestamp_ntz"
+
+
+def new_version() -> str:
+    """A version id; later ones sort behind earlier ones."""
+    return f"v{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+
+
+def publish_version(spark: SparkSession, log: str, run_date: str, version: str) -> None:
+    """Make a version of a run date current: one entry appended to the log of
+    publications. The entry's file appears as a whole, so readers see the
+    former version or this one, never a mix."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(run_date, version, now)], PUBLISHED_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+
+
+def published_versions(spark: SparkSession, log: str) -> DataFrame:
+    """(run_date, version): the current version of every published run date.
+    A log that is not there yet has no entries."""
+    try:
+        entries = spark.read.schema(PUBLISHED_SCHEMA).parquet(log)
+        entries.isEmpty()
+    except AnalysisException:
+        entries = spark.createDataFrame([], PUBLISHED_SCHEMA)
+    return entries.groupBy("run_date").agg(F.max("version").alias("version"))
+
+
+def current_version(spark: SparkSession, log: str, run_date: str) -> str:
+    """The published version of a run date; FileNotFoundError if there is none."""
+    row = published_versions(spark, log).where(F.col("run_date") == run_date).first()
+    if row is None:
+        raise FileNotFoundError(f"no published version of run_date={run_date} in {log}")
+    return row["version"]
+
+
 JDBC_CONNECTIONS = 8
 
 
