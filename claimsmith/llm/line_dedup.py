@@ -4,15 +4,17 @@
    position. Rows are range-partitioned by (hash, document) and sorted by
    (hash, document, position), so a line that a third of all documents hold
    spans many partitions; the first occurrence of a line in a document is
-   marked as the sorted rows stream by, without another shuffle.
+   marked as the sorted rows stream by, without another shuffle. A document is
+   an id here: a line in two rows of one id counts once.
 2. First occurrences are counted per hash (a partial sum per task first).
 3. Hashes of enough documents are joined back to the rows; adaptive execution
    splits the join's hot hashes.
 4. A document's rows become its keep bitmap, as runs of kept lines. The text
    itself is neither sorted nor returned.
 
-A document is a distinct pair of id and text: rows of one id with different
-texts are different documents, repeated rows are one.
+Rows of one id with different texts are one document when lines are counted,
+and each text keeps a bitmap of its own; repeated rows are one. A row without
+an id is a document by its text.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ def line_key(line: Column) -> Column:
 
 
 def _line_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """(a, b, doc_id, t, pos, keyed, first) in hash order. A line without a
+    """(a, b, doc_id, t, pos, keyed, first) in hash order; ``first`` marks the
+    line's first occurrence in its document. A line without a
     key gets a hash of its place, so such lines do not meet."""
     lines = docs.select("doc_id", F.xxhash64(text_col).alias("t"), F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
     keys = lines.select("doc_id", "t", "pos", line_key(F.col("line")).alias("key"))
@@ -45,10 +48,11 @@ def _line_rows(docs: DataFrame, text_col: str) -> DataFrame:
         F.when(keyed, F.xxhash64("key")).otherwise(F.xxhash64(place)).alias("a"),
         F.when(keyed, F.xxhash64(F.lit(1), "key")).otherwise(F.xxhash64(F.lit(2), place)).alias("b"),
         "doc_id", "t", "pos", keyed.alias("keyed"))
-    by = ["a", "b", "doc_id", "t"]
-    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by, "pos")
-    seen = F.row_number().over(Window.partitionBy(*by).orderBy("pos"))
-    return ranged.withColumn("first", F.col("keyed") & (seen == 1))
+    by = ["a", "b", "doc_id", "unnamed"]
+    named = rows.withColumn("unnamed", F.when(F.col("doc_id").isNull(), F.col("t")))
+    ranged = named.repartitionByRange(*by).sortWithinPartitions(*by, "t", "pos")
+    seen = F.row_number().over(Window.partitionBy(*by).orderBy("t", "pos"))
+    return ranged.withColumn("first", F.col("keyed") & (seen == 1)).drop("unnamed")
 
 
 def keep_runs(n_lines: Column, dropped: Column) -> Column:
@@ -65,7 +69,8 @@ def keep_bitmaps(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, text_col:
     of lines that stay.
 
     A line's key is the line without white space at both ends, A-Z lowered;
-    lines without a key stay. Null ids are documents of their own; null and
+    lines without a key stay. A line counts once for an id, whatever number of
+    texts it has; texts of null ids are documents of their own; null and
     empty texts have one line, which stays. An empty table gives no rows.
     Other columns are not read.
     """
@@ -89,6 +94,7 @@ def kept_text(text: Column, keep: Column) -> Column:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with their bitmap's n_lines, n_dropped and keep."""
-    b = bitmaps.select(F.col("doc_id").alias("__id"), F.col("t").alias("__t"), "n_lines", "n_dropped", "keep")
-    own = docs.drop("n_lines", "n_dropped", "keep")
-    return own.join(b, own["doc_id"].eqNullSafe(b["__id"]) & (F.xxhash64(own[text_col]) == b["__t"])).drop("__id", "__t")
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "keep")]
+    packed = docs.select(F.struct(*own).alias("doc"), F.col("doc_id").alias("of_id"), F.xxhash64(text_col).alias("of_text"))
+    same = packed["of_id"].eqNullSafe(bitmaps["doc_id"]) & (packed["of_text"] == bitmaps["t"])
+    return packed.join(bitmaps, same).select("doc.*", "n_lines", "n_dropped", "keep")

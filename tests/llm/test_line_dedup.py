@@ -53,6 +53,16 @@ def test_random_lines_edges_and_hot_line(spark):
     assert L.keep_bitmaps(df.limit(0)).count() == 0
 
 
+def test_a_line_counts_once_for_an_id(spark):
+    """Nine ids, one of them with two texts: nine documents hold the line."""
+    docs = [(i, f"shared\nown {i}") for i in range(9)] + [(0, "shared\nother"), (20, "shared?")]
+    df = spark.createDataFrame([(*d, "a", "b") for d in docs], "doc_id long, text string, __id string, __t string")
+    got = L.apply_bitmaps(df, L.keep_bitmaps(df, 10))
+    assert got.columns == ["doc_id", "text", "__id", "__t", "n_lines", "n_dropped", "keep"]
+    assert [r.n_dropped for r in got.collect()] == [0] * 11
+    assert sorted(r.n_dropped for r in L.apply_bitmaps(df, L.keep_bitmaps(df, 9)).collect()) == [0] + [1] * 10
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     plan = L.apply_bitmaps(docs, L.keep_bitmaps(docs))._jdf.queryExecution().toString()
