@@ -16,6 +16,7 @@ which there is one number per shard.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,13 +78,21 @@ def unpack_ids(payload: bytes, sizes: list[int], n: int, planes: int = 4, block_
     return out
 
 
+def byte_characters() -> dict[int, int]:
+    """The character by which a byte-level vocabulary writes each byte: the
+    byte's own where it prints, else the next one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in own)
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Texts to ids with a tokenizer file, without adding special tokens.
 
-    A byte-level tokenizer splits a text into pieces and encodes each piece
-    by itself, so each distinct piece goes through the library once and is
-    then looked up. Tokenizers that split in another way, and texts that
-    hold a special token's string, go through the library whole.
+    A byte-level tokenizer splits a text into pieces and gives each piece's
+    bytes to its model, so each distinct piece goes through the library's
+    model once and is then looked up. Tokenizers that split in another way,
+    and texts that hold a special token's string, go through the library whole.
     """
 
     def __init__(self, path: str):
@@ -101,10 +110,17 @@ class Encoder:
                          and not spec.get("normalizer"))
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.model, self.byte_characters = self.tokenizer.model, byte_characters()
         self.known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _model(self, pieces: list[str]) -> Iterator[bytes]:
+        tokenize, characters = self.model.tokenize, self.byte_characters
+        for piece in pieces:
+            tokens = tokenize(piece.encode().decode("latin-1").translate(characters))
+            yield array("I", [t.id for t in tokens]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit integers."""
@@ -118,7 +134,7 @@ class Encoder:
         if len(known) > _CACHE_PIECES:
             known.clear()
         new = list(set().union(*split.values()).difference(known))
-        known.update(zip(new, self._library(new)))
+        known.update(zip(new, self._model(new)))
         for i, pieces in split.items():
             out[i] = b"".join(map(known.__getitem__, pieces))
         for p in new:
