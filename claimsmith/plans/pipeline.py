@@ -114,8 +114,10 @@ def stage_clean(spark: SparkSession, cfg: PipelineConfig) -> None:
     """C1-C4 over the raw snapshot of the run date. What cleaning changes or
     drops is counted per rule while the tables are written (no other scan) and
     kept as ``<root>/quality/rejected_values``."""
-    raw = {n: io.read_csv(spark, f"{cfg.raw_root}/{cfg.run_date}/{n}", cfg.pandas_missing_tokens, keep_empty=True)
-           for n in SOURCE_COLUMNS}
+    def source(n: str):
+        return lambda: io.read_csv(spark, f"{cfg.raw_root}/{cfg.run_date}/{n}", cfg.pandas_missing_tokens, keep_empty=True)
+
+    raw = run_concurrently({n: source(n) for n in SOURCE_COLUMNS})
     for n, df in raw.items():
         io.validate_columns(df, SOURCE_COLUMNS[n])
     seen = {n: Observation(f"rejects_{n}") for n in ("claims", "prescriptions")}
