@@ -87,7 +87,9 @@ class Star:
 
     @cached_property
     def dim_treatment(self) -> DataFrame:
-        return B.dim_treatment(A.claim_events(self.t, self._plain_lines), A.prescription_events(self.t, self._plain_lines))
+        # Both event kinds have the categories of the same lines; their plans are alike, so Spark runs one.
+        kinds = A.treatment_kinds(self._plain_lines)
+        return B.dim_treatment(kinds, kinds)
 
     @cached_property
     def dim_patient(self) -> DataFrame:

@@ -185,6 +185,14 @@ def claim_amounts(t: Tables) -> DataFrame:
         _reimbursed_dec().cast("double").alias("reimbursed_amount"))
 
 
+def treatment_kinds(lines: DataFrame) -> DataFrame:
+    """The treatments of claim and prescription events of the lines: the few
+    categories first, then one hash each."""
+    category = F.lower(F.col("p_type"))
+    return lines.select(category.alias("treatment_category")).distinct().select(
+        H.category_id("treatment_category").alias("treatment_id"), "treatment_category")
+
+
 def nation_providers(t: Tables) -> DataFrame:
     """Providers of the coarse variant: one per nation."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")

@@ -52,7 +52,10 @@ def main() -> None:
     stg = {n: io.read_run_partition(spark, cfg.staging_root, n, cfg.run_date)
            for n in P.STAGING_CLEAN + P.STAGING_EVENTS}
 
+    from claimsmith.plans.catalog import QUERIES
+
     shown = {
+        "N1 monthly KPI from the test tables": QUERIES["n1_claims_kpi"](spark, sf_dir),
         "N1 monthly KPI over the curated tables": N.claims_kpi(cur["fact_reimbursements"], cur["dim_date"]),
         "B6 fact_claims lookups (before the dense key)": B.claim_lines(
             stg["stg_claims_events"], cur["dim_provider"], cur["dim_treatment"], cur["dim_patient"]).select(
