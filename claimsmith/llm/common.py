@@ -17,8 +17,8 @@ LOWER = UPPER.lower()
 WHITE = "\t\n\x0b\x0c\r "
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["LOWER", "UPPER", "WHITE", "WORD_RE", "Scratch", "Shared", "ascii_lower", "crc32_mod", "materialize",
-           "read_table", "utf8"]
+__all__ = ["LOWER", "UPPER", "WHITE", "WORD_RE", "Scratch", "Shared", "ascii_lower", "crc32_mod", "free_name",
+           "materialize", "read_table", "utf8"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,14 @@ def crc32_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """A column name like ``name`` that none of the taken ones equals."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 class Shared:
     """A bounded object sent to the tasks once per executor, with the classes
     it consists of."""
@@ -58,6 +66,10 @@ class Shared:
             self._value = pickle.loads(self._raw.value)
         return self._value
 
+    def destroy(self) -> None:
+        """Free it everywhere, once no task needs it again."""
+        self._raw.destroy()
+
 
 class Scratch:
     """Tables of one operator call in the shared checkpoint folder; ``drop``

@@ -104,3 +104,39 @@ def test_items_without_an_id_hit(spark, block):
     bench = spark.createDataFrame([(None, "one two three"), (7, "four five six"), (None, None)], "item_id long, text string")
     got = {r.doc_id: r.contamination for r in D.mark_contamination(docs, bench, block_bytes=block).collect()}
     assert [(got[i].n_hit, got[i]["items"]) for i in (1, 2, 3)] == [(3, []), (0, []), (3, ["7"])]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_of_a_block_are_the_distinct_ones(seed):
+    rng = random.Random(seed)
+    items = [(rng.choice([None, "a", "b", "c"]), " ".join(rng.choice("xyz") for _ in range(rng.choice((0, 1, 3, 13, 40)))))
+             for _ in range(40)]
+    want = {}
+    for item, text in items:
+        w = text.encode().split()
+        for i in range(max(1, len(w) - 12) if w else 0):
+            want.setdefault(tuple(w[i:i + 13]), set()).update({item} - {None})
+    windows = D.Windows([(i, t.encode()) for i, t in items])
+    word = {v: k for k, v in windows.ids.items()}
+    got = {}
+    for size, starts, cuts, whose in windows.by_length:
+        for p, a, b in zip(windows.patterns(size, starts), cuts, cuts[1:]):
+            assert tuple(p) not in got
+            got[tuple(word[x] for x in p)] = {windows.names[i] for i in whose[a:b]}
+    assert got == want
+
+
+@pytest.mark.parametrize("block", [200, 1 << 20])
+def test_long_items_in_pieces_and_clashing_columns(spark, monkeypatch, block):
+    monkeypatch.setattr(D, "PIECE_WORDS", 5)
+    rng = random.Random(1)
+    items = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice((3, 13, 14, 90))))) for i in range(12)]
+    docs = [(i, items[i % 12][1][2 * (i % 5):] + " " + " ".join(rng.choice("abcdefgh") for _ in range(30)), "m", "k")
+            for i in range(30)]
+    docs += [(99, docs[3][1], "m", "k")] * 5
+    df = spark.createDataFrame(docs, "doc_id long, text string, mark string, Key string")
+    got = D.mark_contamination(df, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block)
+    assert got.columns == [*df.columns, "contamination"]
+    shown = sorted((r.doc_id, r.mark, r.Key, r.contamination.n_words, r.contamination.n_hit, r.contamination["items"])
+                   for r in got.collect())
+    assert shown == sorted((d[0], "m", "k", *w) for d, w in zip(docs, brute([d[:2] for d in docs], items)))
