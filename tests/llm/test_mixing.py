@@ -58,9 +58,8 @@ def test_hot_small_and_null_sources(spark):
     df = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, source string, text string, target string, hash int")
     rows = mixing.mix(df).collect()
     report = check(rows, docs)
-    for source, (got, want, largest) in report.items():
-        if source != "same":  # repeated rows are taken alike
-            assert abs(got - want) <= largest
+    for got, want, largest in report.values():
+        assert abs(got - want) <= largest
     mixed = mixing.mixed_documents(df)
     assert mixed.columns == df.columns
     copies = defaultdict(int)
@@ -86,3 +85,18 @@ def test_one_hash_per_level_is_refined(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, source string, text string")
     for got, want, largest in check(mixing.mix(df).collect(), docs).values():
         assert abs(got - want) <= largest
+
+
+def test_copies_of_one_row_meet_the_target(spark):
+    docs = [(1, "a", "w " * 10)] * 200 + [(2, "b", "v " * 5)] * 7 + [(3 + i, "b", "v u") for i in range(5)]
+    df = spark.createDataFrame([(*d, {"k": 1}, i % 3) for i, d in enumerate(docs)],
+                               "doc_id long, source string, text string, m map<string,int>, ordinal int")
+    rows = mixing.mix(df).collect()
+    for got, want, largest in check(rows, docs).values():
+        assert abs(got - want) <= largest / 2  # the nearest number of copies
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns
+    taken = sum(r["size"] * r.copies for r in rows)
+    assert sum(len(r.text.split()) for r in mixed.collect()) == taken
+    again = mixing.mixed_documents(df).collect()
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, again))
