@@ -6,10 +6,11 @@ marks nor the way lines are wrapped matter: the terms of the templates are
 weighted by their document frequency over all files, terms outside the
 templates count as the rarest, and the cosine of window and template is taken
 over the few terms they share. A window must hold the terms that tell its
-licence from others (version, "lesser", "affero"). Long licences are compared
+licence from others (version, "general", "lesser", "affero"). Long licences are compared
 with the whole file by the term counts of their full texts
 (``licence_terms.json``). A whole licence text decides first; otherwise a
-file's licence is its best window's, if that reaches ``THRESHOLD``.
+file's licence is the SPDX expression it states, if that joins several
+licences, or its best window's, if that reaches ``THRESHOLD``.
 
 A licence file (by name, or by holding a whole licence and little else)
 speaks for its directory, and a file without a licence of its
@@ -65,6 +66,10 @@ def _gnu(kind: str, version: str) -> tuple[str, ...]:
             _GPL.format(kind, _LATER.format(version)), _GPL.format(kind, f"version {version} of the License."))
 
 
+def _short_gnu(kind: str, version: str) -> tuple[str, ...]:
+    return f"Licensed under the GNU {kind} v{version}", f"Licensed under the {kind}v{version}"
+
+
 #: Headers, grants and short licences by which public licences are named.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0",
@@ -86,15 +91,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
             "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
             "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2",
-                *_gnu("GNU General Public License", "2")),
+                *_short_gnu("GPL", "2"), *_gnu("GNU General Public License", "2")),
     "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3",
-                *_gnu("GNU General Public License", "3")),
+                *_short_gnu("GPL", "3"), *_gnu("GNU General Public License", "3")),
     "LGPL-2.1": ("Licensed under the GNU Lesser General Public License, version 2.1",
-                 *_gnu("GNU Lesser General Public License", "2.1")),
+                 *_short_gnu("LGPL", "2.1"), *_gnu("GNU Lesser General Public License", "2.1")),
     "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3",
-                 *_gnu("GNU Lesser General Public License", "3")),
+                 *_short_gnu("LGPL", "3"), *_gnu("GNU Lesser General Public License", "3")),
     "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3",
-                 *_gnu("GNU Affero General Public License", "3")),
+                 *_short_gnu("AGPL", "3"), *_gnu("GNU Affero General Public License", "3")),
     "BSD-2-Clause": ("Licensed under the BSD 2-Clause License", _BSD.format("")),
     "BSD-3-Clause": ("Licensed under the BSD 3-Clause License",
                      "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -129,13 +134,36 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 TEMPLATES = {name: (*own, f"SPDX-License-Identifier: {name}") for name, own in TEMPLATES.items()}
 #: Terms that a window must hold if its template does, besides those of the licence's name.
-TELLING = frozenset("lesser affero mozilla boost eclipse sharealike noncommercial noderivatives endorse unencumbered".split())
+TELLING = frozenset("general lesser affero mozilla boost eclipse sharealike noncommercial noderivatives endorse unencumbered "
+                    "v2 v3 gplv2 gplv3 lgplv2 lgplv3 agplv3".split())
 #: Terms that a window must not hold unless its template does.
 BARRING = frozenset("lesser lgpl affero agpl sharealike sa noncommercial nc noderivatives noderivs nd endorse".split())
 FULL_TEXTS = Path(__file__).with_name("licence_terms.json")
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)(\.[a-z]+)?$"
 
 terms_of = re.compile(r"[a-z0-9]+").findall
+_SPDX = re.compile(r"SPDX-License-Identifier:([^\r\n]*)")
+
+
+def spdx_expression(text: str) -> str | None:
+    """The first SPDX expression of a text that joins licences by OR or AND,
+    with single spaces; None if no tag has one. It ends before the first word
+    that cannot follow."""
+    for line in _SPDX.findall(text):
+        out: list[str] = []
+        depth = 0
+        for t in re.findall(r"[A-Za-z0-9.+-]+|[()]|\S", line):
+            name_next = not out or out[-1] in ("OR", "AND", "WITH", "(")
+            if t == "(" and name_next:
+                depth += 1
+            elif t == ")" and depth and not name_next:
+                depth -= 1
+            elif (t in ("OR", "AND", "WITH")) == name_next or not re.fullmatch(r"[A-Za-z0-9.+-]+", t):
+                break
+            out.append(t)
+        if depth == 0 and out and out[-1] not in ("OR", "AND", "WITH") and {"OR", "AND"} & {*out}:
+            return " ".join(out).replace("( ", "(").replace(" )", ")")
+    return None
 
 
 def full_texts() -> dict[str, dict[str, int]]:
@@ -238,6 +266,9 @@ class Matcher:
             name, cosine = self._whole_text(terms)
             if cosine >= WHOLE:
                 return name, cosine, True
+        joined = spdx_expression(text or "")
+        if joined:
+            return joined, 1.0, False
         ids = np.array([self.number.get(t, -1) for t in terms], np.int64)
         present = np.zeros(len(self.number))
         present[ids[ids >= 0]] = 1

@@ -109,3 +109,19 @@ def test_whole_licence_speaks_whatever_its_name_and_length(spark):
     for d, name in (("m", "MIT"), ("g", "GPL-3.0"), ("a", "AGPL-3.0")):
         assert got[f"{d}/terms.txt"] == (name, "own") and got[f"{d}/x.py"] == (name, "inherited")
     assert got["h/x.py"] == (None, "none")
+
+
+def test_names_that_only_resemble_and_expressions():
+    matcher = L.Matcher(L.TEMPLATES, {}, 1000, L.THRESHOLD)
+    named = {"Licensed under the Python Software Foundation License Version 2": None,
+             "Licensed under the GNU GPL v3": "GPL-3.0", "Licensed under the GNU GPL v2.": "GPL-2.0", "Licensed under the GPLv3": "GPL-3.0",
+             "Licensed under the GNU LGPL v3": "LGPL-3.0", "Licensed under the GNU LGPL v2.1": "LGPL-2.1",
+             "Licensed under the GNU AGPL v3": "AGPL-3.0", "Licensed under the GNU GPL v1": None,
+             "SPDX-License-Identifier: Apache-2.0 OR MIT": "Apache-2.0 OR MIT",
+             "/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause */": "(MIT OR Apache-2.0) AND BSD-3-Clause",
+             "SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note OR MIT -->": "GPL-2.0-only WITH Linux-syscall-note OR MIT",
+             "SPDX-License-Identifier: MIT": "MIT"}
+    for text, want in named.items():
+        assert matcher.text(f"# {text}\nx = 1")[0] == want, text
+    for text in ("SPDX-License-Identifier: MIT OR", "SPDX-License-Identifier: (MIT OR ISC", "SPDX-License-Identifier:", "MIT OR ISC"):
+        assert L.spdx_expression(text) is None
