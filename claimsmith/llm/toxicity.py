@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS
         chosen += marks.where(F.col("toxic") == k).orderBy(rank, "doc_id").limit(fit_documents).select(
             "doc_id", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATION)) == 0).alias("calibrate")).collect()
     # At most 2 * fit_documents rows of an id and two marks.
-    picked = spark.createDataFrame(chosen, "doc_id bigint, toxic int, calibrate boolean").withColumnRenamed("doc_id", "id")
+    kind = marks.schema["doc_id"].dataType.simpleString()
+    picked = spark.createDataFrame(chosen, f"id {kind}, toxic int, calibrate boolean")
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("id")).drop("id")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -84,3 +84,12 @@ def test_small_sample_learns_a_marked_stem(spark):
     model = T.train(docs, labels, fit_documents=150)
     scores = model.scores(["alpha beta " * 20, "alpha beta " * 20 + "vileness", "vileish alpha " + "beta gamma " * 10, "", None])
     assert scores[0] < 0.1 and scores[1] > 0.9 and scores[2] > 0.7 and scores[3] < 0.5 and scores[4] == scores[3]
+
+
+def test_ids_of_text_learn_the_same(spark):
+    docs = spark.createDataFrame([(str(i), f"alpha beta {'vileness' if i % 4 == 0 else 'gamma'}") for i in range(300)],
+                                 "doc_id string, text string")
+    labels = spark.createDataFrame([(str(i), int(i % 4 == 0)) for i in range(300)], "doc_id string, toxic int")
+    model = T.train(docs, labels)
+    scores = model.scores(["alpha beta vileness", "alpha beta gamma"])
+    assert scores[0] > 0.9 and scores[1] < 0.1
