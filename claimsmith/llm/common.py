@@ -78,9 +78,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, kind: str):
         self.spark, self.kind = spark, kind
 
-    def write(self, df: DataFrame) -> tuple[DataFrame, str]:
+    def write(self, df: DataFrame, compression: str | None = None) -> tuple[DataFrame, str]:
         path = scratch_table_path(self.spark, self.kind)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def drop(self, path: str) -> None:
