@@ -1,9 +1,9 @@
-"""Sources (S1-S4), synthesis and scratch scopes."""
 
 import random
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from claimsmith.functions import text as T
 from claimsmith.operators import clean as CL
@@ -216,3 +216,22 @@ def test_run_concurrently_returns_results_and_raises_failures():
 
     with pytest.raises(OSError, match="write failed"):
         run_concurrently({"ok": lambda: 1, "bad": boom})
+
+
+def test_provider_lookups_do_not_sort_the_events(spark):
+    """A hot provider's events would meet in one task of a sort-merge join."""
+    claims = spark.range(300).select(
+        F.concat(F.lit("c"), "id").alias("claim_id"), F.concat(F.lit("p"), "id").alias("patient_id"),
+        F.when(F.col("id") % 50 > 0, "A").otherwise("B").alias("provider_id"), F.lit(None).cast("string").alias("region_id"),
+        F.lit("t").alias("treatment_id"), F.lit(None).cast("date").alias("claim_date"))
+    # Repeated and unknown providers too.
+    providers = spark.createDataFrame([("A", "R2", "clinic"), ("A", "R1", "clinic"), (None, "R1", None)],
+                                      "provider_id string, region_id string, provider_type string")
+    patients = D.synthesize_patients(claims, claims.select("patient_id", "provider_id"), providers)
+    visits = D.synthesize_visits(claims, providers)
+    for found in (patients, visits):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {(r.region_id, r.n) for r in patients.groupBy("region_id").agg(F.count("*").alias("n")).collect()} == {
+        ("R1", 294), ("R11", 6)}
+    assert visits.where("provider_id = 'A'").count() == 2 * 294
