@@ -16,7 +16,10 @@ white space). The steps:
 4. What is similar to neither centre of a larger key gets a longer key, with
    ``MORE`` more MinHashes, and new centres; this goes on until nothing is apart.
    Every round is proportional to what is still apart, whatever a key holds.
-   Verified links give classes by connected components.
+   Verified links give classes by connected components. Centres only spare
+   comparisons: paragraphs of a larger key that are then in different classes
+   are compared exactly, by the rarest shingles that any similar pair must
+   share (prefix filter); what is found joins classes.
 5. Passages are also copied into the middle of other paragraphs. Of each
    ``CHOICE`` neighbouring runs of ``RUN`` words the one with the smallest
    hash is chosen, so texts that share words choose the same runs. Shared runs
@@ -245,13 +248,15 @@ def _longer_keys(number: int):
     return F.pandas_udf(keys, "bigint")
 
 
-def verified_links(keys: DataFrame, units: DataFrame) -> DataFrame:
-    """(a, b) links between similar units of ``keys`` (key, unit); ``units``
-    has (unit, words)."""
+def verified_links(keys: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links between similar units of ``keys`` (key, unit), found by
+    centres, and the rows (key, unit) of keys with several units; ``units``
+    has (unit, words). Keys of up to three units are compared in full, larger
+    ones see to ``paragraph_classes``."""
     scratch = Scratch(keys.sparkSession, "paragraph-links")
     alike = F.pandas_udf(_similar, "boolean")
     order = F.col("unit").bitwiseXOR(F.col("key"))
-    links, level, old = None, 0, None
+    links, level, old, first = None, 0, None, None
     while True:
         centres = (keys.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).where("lo != hi")
                    .select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("lo"),
@@ -270,11 +275,14 @@ def verified_links(keys: DataFrame, units: DataFrame) -> DataFrame:
         for c in ("lo", "hi"):
             inner = inner.join(linked.withColumnRenamed("c", c), ["unit", c], "left_anti")
         apart, apart_path = scratch.write(inner.select("key", "unit"))
-        scratch.drop(met_path)
+        if first is None:
+            first = met.select("key", "unit")
+        else:
+            scratch.drop(met_path)
         if apart.isEmpty():
             for path in (apart_path, *(old or ())):
                 scratch.drop(path)
-            return links.distinct()
+            return links.distinct(), first
         if level == MAX_ROUNDS:
             raise RuntimeError("paragraphs of one key did not come apart")
         # The next round reads the words of what is apart only.
@@ -288,6 +296,77 @@ def verified_links(keys: DataFrame, units: DataFrame) -> DataFrame:
         old = (words_path, keys_path)
 
 
+def _shingles(words: pd.Series) -> pd.Series:
+    """The different shingles' hashes."""
+    hasher = WordHasher()
+    return pd.Series([np.unique(rolled(hasher.hashes(w.split()), SHINGLE)).view(np.int64) for w in words], dtype=object)
+
+
+def _word_number(words: pd.Series) -> pd.Series:
+    return pd.Series([len(w.split()) for w in words], dtype="int64")
+
+
+def similar_across(rest: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b, ca, cb) of all similar units of ``rest`` (unit, cls, words) of
+    different classes.
+
+    Of p shingles and n words a similar paragraph shares 4/5 p at least, or all
+    but the 5 that each of its edits (n / 19 at most, of the longer's 5 %) can
+    break. So two similar ones, their shingles in one order, share one of the
+    first p - that + 1; the order is by frequency, rare ones first, as common
+    passages would pair what is not alike. Shingles of one unit only count,
+    they are not joined."""
+    own, own_path = scratch.write(rest.select(
+        "unit", "cls", F.pandas_udf(_shingles, "array<bigint>")("words").alias("shingles"),
+        F.pandas_udf(_word_number, "bigint")("words").alias("n")), "zstd")
+    p, n = F.col("p"), F.col("n")
+    rows = own.select("unit", "cls", F.size("shingles").cast("bigint").alias("p"), "n", F.explode("shingles").alias("shingle"))
+    common = own.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where(
+        "held > 1")
+    first = F.least(p, F.greatest(p - F.ceil(p * 4 / 5) + 1, SHINGLE * F.floor(n / 19) + 1))
+    ranked = rows.join(common, "shingle").groupBy("unit", "cls", "p", "n").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("s"))
+    taken = F.greatest(first - (p - F.size("s")), F.lit(0)).cast("int")
+    prefix, prefix_path = scratch.write(ranked.select(
+        "unit", "cls", "p", "n", F.explode(F.slice("s", F.lit(1), taken)).alias("s")).select(
+        "unit", "cls", "p", "n", F.col("s.shingle").alias("shingle")))
+    a = prefix.select("shingle", *(F.col(c).alias(d) for c, d in (("unit", "a"), ("cls", "ca"), ("p", "pa"), ("n", "na"))))
+    b = prefix.select("shingle", *(F.col(c).alias(d) for c, d in (("unit", "b"), ("cls", "cb"), ("p", "pb"), ("n", "nb"))))
+    near = (F.least("pa", "pb") * 5 >= F.greatest("pa", "pb") * 4) | (F.least("na", "nb") * 20 >= F.greatest("na", "nb") * 19)
+    pairs = a.join(b, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near).select(
+        "a", "b", "ca", "cb").distinct()
+    wa = rest.select(F.col("unit").alias("a"), F.col("words").alias("wa"))
+    wb = rest.select(F.col("unit").alias("b"), F.col("words").alias("wb"))
+    found, _ = scratch.write(pairs.join(wa, "a").join(wb, "b").where(F.pandas_udf(_similar, "boolean")("wa", "wb")).select(
+        "a", "b", "ca", "cb"))
+    for path in (own_path, prefix_path):
+        scratch.drop(path)
+    return found
+
+
+def paragraph_classes(keys: DataFrame, units: DataFrame, scratch: Scratch) -> DataFrame:
+    """(unit, component) of units similar to another: all that share a key are
+    compared, through centres or, where these leave classes of a key apart, by
+    ``similar_across``. The component is the smallest unit."""
+    links, met = verified_links(keys, units)
+    classes, _ = scratch.write(connected_components(links).select(F.col("node").alias("unit"), "component"))
+    held = met.join(classes, "unit", "left").select("key", "unit", F.coalesce("component", "unit").alias("cls"))
+    mixed = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("lo"), F.max("cls").alias("hi")).where(
+        "n > 3 and lo != hi").select("key")
+    rest, rest_path = scratch.write(
+        held.join(mixed, "key").select("unit", "cls").distinct().join(units, "unit").select("unit", "cls", "words"), "zstd")
+    found = similar_across(rest, scratch)
+    scratch.drop(rest_path)
+    if found.isEmpty():
+        return classes
+    joined, _ = scratch.write(connected_components(found, "ca", "cb").select(F.col("node").alias("cls"), F.col("component").alias("to")))
+    # A class is named by its smallest unit, so a unit that was alone stands for itself.
+    alone = joined.join(classes, F.col("cls") == F.col("unit"), "left_anti").select(
+        F.col("cls").alias("unit"), F.col("to").alias("component"))
+    return classes.join(joined, F.col("component") == F.col("cls"), "left").select(
+        "unit", F.coalesce("to", "component").alias("component")).unionByName(alone)
+
+
 def stretches(runs: list, spans: list | None) -> list[tuple]:
     """(first_word, end_word, passage_first, passage_end, class, kept_in) of
     the words of shared runs (at, run, kept_in) outside the spans; a stretch
@@ -366,9 +445,7 @@ def repeated_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
     fresh = parts.select(F.explode("paragraphs").alias("p")).where("p.words is not null")
     units, units_path = scratch.write(fresh.select("p.unit", "p.keys", "p.words").dropDuplicates(["unit"]), "zstd")
     keys = units.select(F.explode("keys").alias("key"), "unit")
-    links = verified_links(keys, units.select("unit", "words"))
-    classes, _ = scratch.write(
-        connected_components(links).select(F.col("node").alias("unit"), "component"))
+    classes, _ = scratch.write(paragraph_classes(keys, units.select("unit", "words"), scratch))
     scratch.drop(units_path)
     # A class is held by several documents if its paragraphs are; a hot paragraph is combined before the shuffle.
     held = (places.groupBy("unit").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))

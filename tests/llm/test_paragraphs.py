@@ -212,3 +212,21 @@ def test_chosen_runs_cover_common_words():
         both = at[np.isin(x, y)]
         covers.append(len({i for s in both for i in range(s, s + P.RUN)}))
     assert min(covers) >= P.MIN_STRETCH
+
+
+def test_all_similar_paragraphs_of_one_key_are_linked(spark):
+    """60 pairs of near copies under one key, which centres and longer keys tear apart; pairs of J just above 0.8,
+    of edits only, and a shared passage that links nothing."""
+    rng = random.Random(12)
+    passage, texts = plain(rng, 20), []
+    for i in range(60):
+        own = plain(rng, 80)
+        other = own + plain(rng, 18) if i % 2 else edited(rng, own, 4)
+        texts += [" ".join(passage + own), " ".join(passage + other)]
+    rows = [(u, t.encode()) for u, t in enumerate(texts)]
+    units = spark.createDataFrame(rows, "unit long, words binary")
+    keys = units.selectExpr("7L as key", "unit")
+    got = {r.unit: r.component for r in P.paragraph_classes(keys, units, P.Scratch(spark, "test")).collect()}
+    links = [(a, b) for a in range(120) for b in range(a + 1, 120) if P.similar(rows[a][1], rows[b][1])]
+    assert len(links) == 60
+    assert got == {u: u - u % 2 for u in range(120)}
