@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from claimsmith.operators import analytics as N
 from claimsmith.operators import quality as Q
 from claimsmith.operators.keys import add_surrogate_key, hashed_lookup, scratch_scope
 from claimsmith.plans.catalog import QUERIES
@@ -103,3 +104,21 @@ def test_claim_metrics_shuffle_claim_ids_only(spark):
         "unique": 0, "total": 0, "nulls": 0, "status": 0, "amounts": 0, "over": 0}
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [claim_id" in plan and not [x for x in plan.splitlines() if "Aggregate [claim_id" in x and "amount" in x]
+
+
+def test_claims_are_not_shuffled_to_meet_few_repeated_patterns(spark):
+    rows = [(f"c{i}", i % 40 if i % 40 else None, 1, 1, 1, 2.0, 1.0) for i in range(41)]
+    df = N.claim_anomaly_features(spark.createDataFrame(
+        rows, "claim_id string, patient_sk long, provider_sk long, treatment_sk long, date_sk int, billed_amount double, "
+        "reimbursed_amount double"))
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.claim_id for r in df.collect() if r.is_potential_duplicate) == ["c0", "c40"]
+    assert df.count() == 41
+
+
+def test_anomaly_features_write_what_they_read(spark):
+    for name in ("n3_claim_anomaly_features", "n3_claim_anomaly_features_coarse"):
+        with scratch_scope(spark) as paths:
+            QUERIES[name](spark, SF_SMALL)
+            written = [p for p in paths if os.path.basename(p).startswith("claim_lines")]
+            assert spark.read.parquet(*written).columns == list(N.FEATURE_INPUTS)
