@@ -34,8 +34,8 @@ CHUNK_IDS = 1 << 20
 #: Bytes of text for one task; a task keeps the pieces it has seen.
 SHARD_BYTES = 64 << 20
 END_ID = 0
-_BATCH_CHARS = 4 << 20
-_CACHE_PIECES = 1_000_000
+_BATCH_CHARS = 2 << 20
+_CACHE_PIECES = 150_000
 _CACHE_CHARS = 48
 
 CHUNK_SCHEMA = ("shard int, chunk int, first bigint, n_ids bigint, planes int, block_ids int, plane_sizes array<int>, "
@@ -91,27 +91,29 @@ class Encoder:
 
     A byte-level tokenizer splits a text into pieces and gives each piece's
     bytes to its model, so each distinct piece goes through the library's
-    model once and is then looked up. Tokenizers that split in another way,
-    and texts that hold a special token's string, go through the library whole.
+    model once and is then looked up. Pieces are kept in two halves: a full
+    half becomes the old one, and what is met again moves to the new one, so
+    rare pieces go and a task holds a bounded number. Tokenizers that split in
+    another way, and texts that hold a special token's string, go through the
+    library whole.
     """
 
     def __init__(self, path: str):
-        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        spec = json.loads(self.tokenizer.to_str())
-        split = spec.get("pre_tokenizer") or {}
-        self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
-                         and not spec.get("normalizer"))
-        self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        split = self.tokenizer.pre_tokenizer
+        self.by_piece = (isinstance(split, pre_tokenizers.ByteLevel) and split.use_regex and not split.add_prefix_space
+                         and self.tokenizer.normalizer is None)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.model, self.byte_characters = self.tokenizer.model, byte_characters()
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -130,10 +132,13 @@ class Encoder:
             out[i] = ids
         whole = set(whole)
         split = {i: self.pieces(t) for i, t in enumerate(texts) if i not in whole}
-        known = self.known
-        if len(known) > _CACHE_PIECES:
-            known.clear()
-        new = list(set().union(*split.values()).difference(known))
+        if len(self.known) > _CACHE_PIECES:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        new = set().union(*split.values()).difference(known)
+        again = old.keys() & new
+        known.update((p, old[p]) for p in again)
+        new = list(new - again)
         known.update(zip(new, self._model(new)))
         for i, pieces in split.items():
             out[i] = b"".join(map(known.__getitem__, pieces))

@@ -72,3 +72,16 @@ def test_null_ids_repeats_and_empty(spark, tmp_path):
     assert T.encode_and_index(df.limit(0), queries.tokenizer_path()).count() == 0
     with pytest.raises(ValueError):
         T.write_token_files(df, str(tmp_path / "x"), queries.tokenizer_path(), planes=5)
+
+
+def test_encoder_keeps_a_bounded_number_of_pieces():
+    import public_tokenizers
+    from claimsmith.llm.token_files import Encoder
+
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f" {''.join(chr(97 + i // 26 ** k % 26) for k in range(4))}" for i in range(400_000)]
+    texts = ["".join(words[a:a + 10_000]) + " the same words" for a in range(0, 400_000, 10_000)]
+    ids = [encoder.encode([t])[0] for t in texts]
+    assert len(encoder.known) + len(getattr(encoder, "old", ())) <= 320_000 < len({p for t in texts for p in encoder.pieces(t)})
+    want = encoder.tokenizer.encode_batch_fast(texts[::13], add_special_tokens=False)
+    assert [list(memoryview(i).cast("I")) for i in ids[::13]] == [e.ids for e in want]
