@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimsmith.llm.common import Scratch, utf8
+from claimsmith.llm.common import Scratch, shuffles_freed, utf8
 from claimsmith.llm.components import connected_components
 
 SHINGLE, SIMILARITY, EDITS = 5, 0.8, 0.05
@@ -258,10 +258,11 @@ def verified_links(keys: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFr
     order = F.col("unit").bitwiseXOR(F.col("key"))
     links, level, old, first = None, 0, None, None
     while True:
-        centres = (keys.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).where("lo != hi")
+        dealt = keys.repartition("key")  # one shuffle for the centres and for the rows that meet them
+        centres = (dealt.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).where("lo != hi")
                    .select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("lo"),
                            F.col("hi").bitwiseXOR(F.col("key")).alias("hi")))
-        met, met_path = scratch.write(keys.join(centres, "key"))
+        met, met_path = scratch.write(dealt.join(centres.hint("shuffle_hash"), "key"))
         pair = F.explode(F.array(*(F.struct(F.least("unit", c).alias("a"), F.greatest("unit", c).alias("b"))
                                    for c in ("lo", "hi")))).alias("p")
         pairs = met.select(pair).select("p.a", "p.b").where("a != b").distinct()
@@ -435,7 +436,11 @@ def repeated_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
     class is the smallest hash of its runs. Paragraphs are told apart by
     64-bit hashes. An empty table gives no rows. Other columns are not read.
     """
-    scratch = Scratch(docs.sparkSession, "paragraphs")
+    with shuffles_freed(docs.sparkSession):
+        return _passages(docs, text_col, Scratch(docs.sparkSession, "paragraphs"))
+
+
+def _passages(docs: DataFrame, text_col: str, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8(text_col).alias("text")).where(
         "doc_id is not null")
     parts, _ = scratch.write(texts.mapInArrow(_parts, _PARTS), "zstd")

@@ -230,3 +230,24 @@ def test_all_similar_paragraphs_of_one_key_are_linked(spark):
     links = [(a, b) for a in range(120) for b in range(a + 1, 120) if P.similar(rows[a][1], rows[b][1])]
     assert len(links) == 60
     assert got == {u: u - u % 2 for u in range(120)}
+
+
+def test_shuffle_files_go_as_soon_as_a_table_is_written(spark):
+    import time
+
+    def held():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.length()))
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    line = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{line} x{i % 3}") for i in range(12)], "doc_id bigint, text string")
+    at_first, conf = held(), spark.conf.get(key)
+    found = P.repeated_passages(docs)
+    assert spark.conf.get(key) == conf
+    for _ in range(50):  # Spark removes them beside other work
+        if held() <= at_first:
+            break
+        time.sleep(0.2)
+    assert held() <= at_first
+    assert found.where("removed").count() == 11
