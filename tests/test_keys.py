@@ -86,3 +86,14 @@ def test_hot_key_spans_several_partitions(spark):
     files = keyed.select(F.input_file_name().alias("f")).distinct().count()
     assert files >= 3
     assert sorted(r.sk for r in keyed.collect()) == list(range(1, 4001))
+
+
+def test_group_row_number_of_whole_and_large_groups(spark):
+    rows = [(g, v) for g, n in ((1, 5), (2, 2), (None, 4), (3, 1)) for v in range(n)] + [(2, None), (1, 3)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    want = sorted(map(tuple, group_row_number(df, ["g"], ["v"], "step").collect()), key=str)
+    for whole in (1, 3, 4, 100):
+        got = group_row_number(df, ["g"], ["v"], "step", whole)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    # Small groups are not joined back to their first keys.
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
