@@ -144,3 +144,14 @@ def test_stage_runs_again_and_forgets_old_failures(spark, tmp_path):
     assert len(ids) == 2
     assert spark.read.parquet(f"{tmp_path}/quality/check_results").count() == 22
     assert spark.read.json([f"{tmp_path}/quality/json/run_id={i}" for i in ids]).count() == 22
+
+
+def test_orphans_are_counted_by_key_before_they_meet_the_dimension(spark):
+    fact = spark.createDataFrame([(k,) for k in [1, 1, 2, None, None, -1, -1, -1]], "k bigint")
+    dim = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
+    counted = Q.orphan_count(fact, dim, "k")
+    assert [r.v for r in counted.collect()] == [5]
+    assert [r.v for r in Q.orphan_count(fact.limit(0), dim, "k").collect()] == [0]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Join LeftAnti" in line)
+    assert "Aggregate" in plan[at + 1]
