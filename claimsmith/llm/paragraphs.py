@@ -19,7 +19,9 @@ white space). The steps:
    Verified links give classes by connected components. Centres only spare
    comparisons: paragraphs of a larger key that are then in different classes
    are compared exactly, by the rarest shingles that any similar pair must
-   share (prefix filter); what is found joins classes.
+   share (prefix filter), first with the unit of each shingle that near copies
+   gather around, then, where classes still differ, with each other if the
+   parities of their words or shingles allow it; what is found joins classes.
 5. Passages are also copied into the middle of other paragraphs. Of each
    ``CHOICE`` neighbouring runs of ``RUN`` words the one with the smallest
    hash is chosen, so texts that share words choose the same runs. Shared runs
@@ -297,50 +299,93 @@ def verified_links(keys: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFr
         old = (words_path, keys_path)
 
 
-def _shingles(words: pd.Series) -> pd.Series:
-    """The different shingles' hashes."""
-    hasher = WordHasher()
-    return pd.Series([np.unique(rolled(hasher.hashes(w.split()), SHINGLE)).view(np.int64) for w in words], dtype=object)
+def parity(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits, each flipped by the values dealt to it: lists that differ in
+    d values, repeats counted, differ in d bits at most."""
+    odd = np.bincount((hashes & np.uint64(127)).astype(np.int64), minlength=128).astype(np.uint8) & 1
+    return tuple(np.packbits(odd).view(np.int64).tolist())
 
 
-def _word_number(words: pd.Series) -> pd.Series:
-    return pd.Series([len(w.split()) for w in words], dtype="int64")
+_FEATURES = "struct<shingles: array<bigint>, n: bigint, w0: bigint, w1: bigint, s0: bigint, s1: bigint>"
+
+
+def _features(words: pd.Series) -> pd.DataFrame:
+    """The different shingles' hashes, the number of words, and the parities of words and shingles."""
+    hasher, rows = WordHasher(), []
+    for w in words:
+        hashes = hasher.hashes(w.split())
+        shingles = np.unique(rolled(hashes, SHINGLE))
+        rows.append((shingles.view(np.int64), len(hashes), *parity(hashes), *parity(shingles)))
+    return pd.DataFrame(rows, columns=["shingles", "n", "w0", "w1", "s0", "s1"])
+
+
+def _differ(kind: str):
+    return sum(F.bit_count(F.col(f"a.{kind}{i}").bitwiseXOR(F.col(f"b.{kind}{i}"))) for i in (0, 1))
+
+
+def may_be_similar():
+    """Whether rows a and b of ``similar_across`` may be of similar units.
+    Jaccard: of the shingles of both a ninth at most is in one only. Edits:
+    each changes two words at most."""
+    pa, pb, na, nb = (F.col(c) for c in ("a.p", "b.p", "a.n", "b.n"))
+    jaccard = (F.col("a.jaccard") & F.col("b.jaccard") & (F.least(pa, pb) * 5 >= F.greatest(pa, pb) * 4)
+               & (_differ("s") * 9 <= pa + pb))
+    edits = (F.col("a.edits") & F.col("b.edits") & (F.least(na, nb) * 20 >= F.greatest(na, nb) * 19)
+             & (_differ("w") * 10 <= F.greatest(na, nb)))
+    return jaccard | edits
 
 
 def similar_across(rest: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b, ca, cb) of all similar units of ``rest`` (unit, cls, words) of
-    different classes.
+    """(ca, cb) links between classes of ``rest`` (unit, cls, words) that join
+    all classes with similar units.
 
     Of p shingles and n words a similar paragraph shares 4/5 p at least, or all
     but the 5 that each of its edits (n / 19 at most, of the longer's 5 %) can
     break. So two similar ones, their shingles in one order, share one of the
-    first p - that + 1; the order is by frequency, rare ones first, as common
-    passages would pair what is not alike. Shingles of one unit only count,
-    they are not joined."""
+    first p - that + 1 of either measure; the order is by frequency, rare ones
+    first, as common passages would pair what is not alike. Shingles of one
+    unit only count, they are not joined.
+
+    Every unit first meets, for each of these shingles, the one of its units
+    with the most common text, around which near copies gather. Only what is
+    then in different classes meets each other, where ``may_be_similar``."""
     own, own_path = scratch.write(rest.select(
-        "unit", "cls", F.pandas_udf(_shingles, "array<bigint>")("words").alias("shingles"),
-        F.pandas_udf(_word_number, "bigint")("words").alias("n")), "zstd")
+        "unit", "cls", F.pandas_udf(_features, _FEATURES)("words").alias("f")).select("unit", "cls", "f.*"), "zstd")
+    marks = ["n", "w0", "w1", "s0", "s1"]
     p, n = F.col("p"), F.col("n")
-    rows = own.select("unit", "cls", F.size("shingles").cast("bigint").alias("p"), "n", F.explode("shingles").alias("shingle"))
+    rows = own.select("unit", F.explode("shingles").alias("shingle"))
     common = own.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where(
         "held > 1")
-    first = F.least(p, F.greatest(p - F.ceil(p * 4 / 5) + 1, SHINGLE * F.floor(n / 19) + 1))
-    ranked = rows.join(common, "shingle").groupBy("unit", "cls", "p", "n").agg(
-        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("s"))
-    taken = F.greatest(first - (p - F.size("s")), F.lit(0)).cast("int")
+    ranked = rows.join(common, "shingle").groupBy("unit").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("s"), F.sum("held").alias("held")).join(
+        own.select("unit", "cls", F.size("shingles").cast("bigint").alias("p"), *marks), "unit")
+    # The unit's own shingles are the rarest and have the first places.
+    jaccard, edits = p - F.ceil(p * 4 / 5) + 1, SHINGLE * F.floor(n / 19) + 1
+    first = F.least(p, F.greatest(jaccard, edits))
+    alone = p - F.size("s")
     prefix, prefix_path = scratch.write(ranked.select(
-        "unit", "cls", "p", "n", F.explode(F.slice("s", F.lit(1), taken)).alias("s")).select(
-        "unit", "cls", "p", "n", F.col("s.shingle").alias("shingle")))
-    a = prefix.select("shingle", *(F.col(c).alias(d) for c, d in (("unit", "a"), ("cls", "ca"), ("p", "pa"), ("n", "na"))))
-    b = prefix.select("shingle", *(F.col(c).alias(d) for c, d in (("unit", "b"), ("cls", "cb"), ("p", "pb"), ("n", "nb"))))
-    near = (F.least("pa", "pb") * 5 >= F.greatest("pa", "pb") * 4) | (F.least("na", "nb") * 20 >= F.greatest("na", "nb") * 19)
-    pairs = a.join(b, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near).select(
-        "a", "b", "ca", "cb").distinct()
+        "unit", "cls", "p", *marks, (F.col("held") / p).alias("common"), alone.alias("alone"),
+        F.posexplode(F.slice("s", F.lit(1), F.greatest(first - alone, F.lit(0)).cast("int"))).alias("i", "x")).select(
+        "unit", "cls", "p", *marks, "common", F.col("x.shingle").alias("shingle"),
+        (F.col("alone") + F.col("i") < jaccard).alias("jaccard"), (F.col("alone") + F.col("i") < edits).alias("edits")))
     wa = rest.select(F.col("unit").alias("a"), F.col("words").alias("wa"))
     wb = rest.select(F.col("unit").alias("b"), F.col("words").alias("wb"))
-    found, _ = scratch.write(pairs.join(wa, "a").join(wb, "b").where(F.pandas_udf(_similar, "boolean")("wa", "wb")).select(
-        "a", "b", "ca", "cb"))
-    for path in (own_path, prefix_path):
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return scratch.write(pairs.distinct().join(wa, "a").join(wb, "b").where(
+            F.pandas_udf(_similar, "boolean")("wa", "wb")).select("ca", "cb").distinct())[0]
+
+    def met(a: DataFrame, b: DataFrame, differ) -> DataFrame:
+        return a.alias("a").join(b.alias("b"), F.col("a.shingle") == F.col("b.shingle")).where(
+            differ & (F.col("a.cls") != F.col("b.cls")) & may_be_similar()).select(
+            *(F.col(x).alias(y) for x, y in (("a.unit", "a"), ("b.unit", "b"), ("a.cls", "ca"), ("b.cls", "cb"))))
+
+    centres = prefix.groupBy("shingle").agg(F.max(F.struct("common", "unit", "cls", "p", *marks, "jaccard", "edits")).alias("c"))
+    near = verified(met(prefix, centres.select("shingle", "c.*"), F.lit(True)))
+    joined, joined_path = scratch.write(connected_components(near, "ca", "cb").select(F.col("node").alias("cls"), F.col("component").alias("to")))
+    now = prefix.join(joined, "cls", "left").withColumn("cls", F.coalesce("to", "cls")).drop("to", "common")
+    found = verified(met(now, now, F.col("a.unit") < F.col("b.unit"))).unionByName(near)
+    for path in (own_path, prefix_path, joined_path):
         scratch.drop(path)
     return found
 

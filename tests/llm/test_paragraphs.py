@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from claimsmith.llm import paragraphs as P
@@ -232,6 +233,53 @@ def test_all_similar_paragraphs_of_one_key_are_linked(spark):
     assert got == {u: u - u % 2 for u in range(120)}
 
 
+def across(spark, texts):
+    """Classes of units that were each alone, by similar_across, and by brute force."""
+    rows = [(u, u, t.encode()) for u, t in enumerate(texts)]
+    links = P.similar_across(spark.createDataFrame(rows, "unit long, cls long, words binary"), P.Scratch(spark, "test")).collect()
+    want = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if P.similar(rows[a][2], rows[b][2])]
+    return (union_find([(r.ca, r.cb) for r in links], range(len(rows))), union_find(want, range(len(rows))))
+
+
+def test_classes_across_equal_brute_force(spark):
+    """Variants by replaced, inserted, dropped, moved and added words, of two texts that share a passage."""
+    rng = random.Random(31)
+    passage, texts = plain(rng, 40), []
+    for stem in (plain(rng, 23) + passage, plain(rng, 60) + passage):
+        for _ in range(90):
+            words = edited(rng, stem, rng.randrange(6))
+            for _ in range(rng.randrange(3)):
+                i, j = rng.randrange(len(words)), rng.randrange(len(words))
+                match rng.randrange(4):
+                    case 0: words.insert(i, word(rng))
+                    case 1: words.pop(i)
+                    case 2: words.insert(j, words.pop(i))
+                    case 3: words += plain(rng, rng.randrange(12))
+            texts.append(" ".join(words))
+    texts += ["a " * 50, "a " * 52, "a b " * 30, "b a " * 31, "a b c d e f " * 9]
+    got, want = across(spark, texts)
+    assert got == want and 20 < len(set(want.values())) < 175
+
+
+def test_paragraphs_around_one_passage_are_not_compared_in_pairs(spark, monkeypatch):
+    """200 paragraphs of a common passage and 12 words of their own, 30 of them with near copies: the pairs compared
+    were 22,174, the square of the group."""
+    rng = random.Random(32)
+    passage = plain(rng, 63)
+    texts = [" ".join(plain(rng, 12) + passage) for _ in range(200)]
+    texts += [" ".join(edited(rng, t.split(), 1)) for t in texts[:30]]
+    compared, real = spark.sparkContext.accumulator(0), P._similar
+
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return real(a, b)
+
+    monkeypatch.setattr(P, "_similar", counted)
+    got, want = across(spark, texts)
+    assert got == want and len(set(want.values())) == 200
+    assert 30 <= compared.value <= 2 * len(texts)
+
+
 def test_shuffle_files_go_as_soon_as_a_table_is_written(spark):
     import time
 
