@@ -78,7 +78,8 @@ def test_freed_blocks_may_overlap(spark):
     assert spark.conf.get(K._FREED, None) == conf
 
 
-@pytest.mark.parametrize("name", ["b6_fact_claims", "q1_q7_python_checks_broken", "q8_q12_sql_checks_broken"])
+@pytest.mark.parametrize("name", ["b6_fact_claims", "q1_q7_python_checks_broken", "q8_q12_sql_checks_broken",
+                                  "x2_patient_journey"])
 def test_queries_give_the_same_rows_in_slices(spark, monkeypatch, name):
     want = rows_of(QUERIES[name](spark, SF_SMALL))
     monkeypatch.setattr(K, "SLICE_ROWS", 2000)
@@ -87,4 +88,5 @@ def test_queries_give_the_same_rows_in_slices(spark, monkeypatch, name):
         monkeypatch.setattr(K, f, lambda *a, own=getattr(K, f): written.append(len(x := own(*a))) or x)
     got = QUERIES[name](spark, SF_SMALL)
     assert rows_of(got) == want
-    assert max(written) >= 3
+    if name != "x2_patient_journey":
+        assert max(written) >= 3
