@@ -133,3 +133,60 @@ def test_sparse_exchange_equals_dense():
     assert (of == C.exchange(table, 5)).all()
     member = np.eye(5)[of]
     assert (big.classes(of, 5) == member.T @ table @ member).all()
+
+
+@pytest.mark.parametrize("hot_words", [0, 5, 1000])
+def test_every_training_word_takes_a_class_by_itself(spark, monkeypatch, hot_words):
+    """Words of one ending that stand in different places; scores equal the definition over the classes of the words."""
+    docs = [(i, " ".join(f"the {['ant', 'bee', 'cow'][(i + j) % 3]}xx runs{(i * j) % 3}yy" for j in range(1 + i % 5)) + " zeldomyy once" * (i == 3))
+            for i in range(40)] + [(70, None), (71, ""), (72, "never seenyy the"), (None, "the antxx"), (5, "the beexx")]
+    seen = {}
+    model, fit, choose = C.word_classes, C.exchange, C.choose_items
+    monkeypatch.setattr(C, "exchange", lambda b, c: seen.setdefault("of", fit(b, c)))
+    monkeypatch.setattr(C, "choose_items", lambda *a: seen.setdefault("items", choose(*a)))
+
+    def classes(train, counts, items, of, moves, emission, alone):
+        out = model(train, counts, items, of, moves, emission, alone)
+        if alone:
+            seen.update(words={bytes(r.word): (r.c, r.k) for r in out.collect()}, moves=moves, emission=emission)
+        return out
+
+    monkeypatch.setattr(C, "word_classes", classes)
+    monkeypatch.setattr(C, "_HELD_NEIGHBOURS", 8)  # a word's occurrences come in many rows
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = C.score_documents(df, core=2, classes=5, hot_words=hot_words).collect()
+    items, of, words = seen["items"], seen["of"], seen["words"]
+    train = [tokens(t) for i, t in docs if remainder(i) != 2]
+    counts = Counter(t for d in train for t in d)
+    assert {w: c for w, (c, _) in words.items()} == counts  # each training word once
+    by_item = lambda t: int(of[items.of([t])[0]])
+    for w, (c, k) in words.items():
+        if w in items.words:
+            assert k == by_item(w)
+            continue
+        likely = np.zeros(len(seen["emission"]))
+        for d in train:
+            for a, b, e in zip([b"\n", *d], d, [*d[1:], b"\n"]):
+                if b == w:
+                    likely += seen["moves"][:, by_item(e)] + seen["moves"][by_item(a)] - seen["emission"]
+        assert k > 0 and likely[k] == pytest.approx(likely[1:].max(), rel=1e-9)
+    # Words of one ending are no longer held together: the order of likelihood may part them.
+    own = type("Own", (), {"of": lambda self, ts: np.array([list(words).index(t) if t in words else len(words) + (by_item(t)) for t in ts])})()
+    table = np.array([k for _, k in words.values()] + list(range(int(of.max()) + 1)))
+    want = sorted(zip([b[:5] for b in brute_base(docs)], brute_score(docs, own, table)), key=lambda x: (str(x[0]), x[1]))
+    have = sorted(((tuple(r)[:5], r.score) for r in got), key=lambda x: (str(x[0]), x[1]))
+    for (g, s), (w, t) in zip(have, want, strict=True):
+        assert g == w and s == pytest.approx(t, rel=1e-9)
+
+
+def test_words_of_one_ending_part_by_their_neighbours(spark):
+    """"redxx" and "runxx" share an item, but one follows "the" and the other a name."""
+    docs = [(i, "the redxx dog . anna runxx home . the bluexx cat . bert sitsxx here .") for i in range(30)]
+    train = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("cast(text as binary) as text")
+    counts = C.word_counts(train)
+    items = C.Items([b"the", b"anna", b"bert", b"dog", b"home", b"cat", b"here", b"."], [b"xx"])
+    of = np.array([0, 1, 2, 2, 3, 4, 3, 4, 5, 3, 1])
+    moves = C.transitions(C.item_bigrams(train, items), of)
+    found = {bytes(r.word): r.k for r in C.word_classes(train, counts, items, of, moves, np.zeros(6), True).collect()}
+    assert len(found) == 13 and found[b"redxx"] == found[b"bluexx"] and found[b"runxx"] == found[b"sitsxx"]
+    assert {bytes(r.word): r.k for r in C.word_classes(train, counts, items, of, moves, np.zeros(6), False).collect()}[b"runxx"] == 3
